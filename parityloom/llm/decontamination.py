@@ -203,3 +203,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, least_coverage: float =
     else:
         out = _apart(texts, items, least_coverage)
     return out.withColumn("contaminated", F.size("item_ids") > 0)
+
+
+def kept(docs: DataFrame, benchmark: DataFrame, least_coverage: float = LEAST_COVERAGE, broadcast_words: int = BROADCAST_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that hold no item, with all their columns. Rows are told apart by id and text."""
+    key = next(k for k in map("row_key{}".format, range(len(docs.columns) + 1)) if k not in docs.columns)
+    keyed = docs.withColumn(key, F.xxhash64(id_col, text_col))
+    found = contamination(keyed, benchmark, least_coverage, broadcast_words, key, text_col)
+    return keyed.join(found.where("contaminated").select(F.col("doc_id").alias(key)).distinct(), key, "left_anti").select(*docs.columns)

@@ -235,3 +235,17 @@ def toxic_segments(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
 def trained(docs: DataFrame, labels: DataFrame, train: Column) -> Model:
     """A model from the labelled rows for which train holds."""
     return fit(sample_rows(docs, labels, "toxic", train, SAMPLE_ROWS))
+
+
+def kept(docs: DataFrame, model: Model, least_score: float, text_col: str = "text") -> DataFrame:
+    """The rows of docs whose score is below least_score, with all their columns, in one pass."""
+    small_batches(docs.sparkSession)
+    at = docs.columns.index(text_col)
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            tokens = [words(t or "") for t in b.column(at).to_pylist()]
+            fine = [model.probability(model.evidence(model.segments(t), len(t))) < least_score for t in tokens]
+            yield b.filter(pa.array(fine, pa.bool_()))
+
+    return docs.mapInArrow(sift, docs.schema)
