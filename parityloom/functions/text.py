@@ -6,7 +6,7 @@ A null text is read as an empty one unless a function says otherwise.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column
@@ -40,6 +40,11 @@ TRAIT_WORDS = {
 LEAKING_WORDS = "deschis deschisa deschisă conștiincios conștiincioasă constiincios extrovertit extrovertită extravert agreabil agreabilă nevrotic nevrotică trăsătură trăsături personalitate tipar ocean oceam scor t_score t-score tscore procentil percentil neurotic neurotica neurotică conscientios constiincioasa".split() + ["big five"]
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once even where use has it in a lambda, which would compute it for each entry."""
+    return F.transform(F.array(value), use)[0]
+
+
 def lower(text: Column) -> Column:
     return F.lower(F.coalesce(text, F.lit("")))
 
@@ -56,8 +61,12 @@ def tokens(text: Column) -> Column:
 
 def ngrams(words: Column, n: int) -> Column:
     """Space-joined runs of n words with repeats; empty if there are fewer."""
-    starts = F.sequence(F.lit(1), F.size(words) - n + 1)
-    return F.when(F.size(words) >= n, F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))).otherwise(F.array().cast("array<string>"))
+
+    def runs(w: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(w) - n + 1)
+        return F.when(F.size(w) >= n, F.transform(starts, lambda i: F.array_join(F.slice(w, i, n), " "))).otherwise(F.array().cast("array<string>"))
+
+    return let(words, runs)
 
 
 def shingles(text: Column, k: int = 3) -> Column:
@@ -95,8 +104,7 @@ def contains_any(text: Column, words: Sequence[str]) -> Column:
 
 def found_words(text: Column, words: Sequence[str] = tuple(LEAKING_WORDS)) -> Column:
     """Those of the words, in their order, that the text contains."""
-    low = lower(text)
-    return F.filter(F.array(*map(F.lit, words)), lambda w: F.contains(low, w))
+    return let(lower(text), lambda low: F.filter(F.array(*map(F.lit, words)), lambda w: F.contains(low, w)))
 
 
 def count_matches(text: Column, pattern: str) -> Column:
@@ -129,8 +137,7 @@ def nfkd(text: pd.Series) -> pd.Series:
 
 
 def is_total(text: Column, labels: Sequence[str] = ("total", "ambele", "both", "toate")) -> Column:
-    norm = normalise(text)
-    return F.exists(F.array(*map(F.lit, labels)), lambda p: F.contains(norm, p))
+    return let(normalise(text), lambda norm: F.exists(F.array(*map(F.lit, labels)), lambda p: F.contains(norm, p)))
 
 
 def clean_path(path: Column) -> Column:
@@ -181,9 +188,11 @@ def header_sections(text: Column) -> Column:
         h = F.when(head, F.regexp_replace(F.trim(line), ":$", "")).otherwise(acc["h"])
         return F.struct(h.alias("h"), F.when(head | (F.trim(line) == ""), acc["out"]).otherwise(F.concat(acc["out"], F.array(F.struct(h.alias("h"), F.trim(line).alias("l"))))).alias("out"))
 
-    pairs = F.aggregate(lines, start, step, lambda acc: acc["out"])
-    keys = F.array_distinct(F.transform(pairs, lambda p: p["h"]))
-    return F.map_from_arrays(keys, F.transform(keys, lambda k: F.array_join(F.transform(F.filter(pairs, lambda p: p["h"] == k), lambda p: p["l"]), "\n")))
+    def gathered(pairs: Column) -> Column:
+        keys = F.array_distinct(F.transform(pairs, lambda p: p["h"]))
+        return F.map_from_arrays(keys, F.transform(keys, lambda k: F.array_join(F.transform(F.filter(pairs, lambda p: p["h"] == k), lambda p: p["l"]), "\n")))
+
+    return let(F.aggregate(lines, start, step, lambda acc: acc["out"]), gathered)
 
 
 def parsed_sections(text: Column, markers: Sequence[str]) -> Column:
@@ -196,8 +205,8 @@ def parsed_sections(text: Column, markers: Sequence[str]) -> Column:
 
 def context_windows(text: Column, words: Sequence[str], before: int = 30, after: int = 100, most: int = 5) -> Column:
     """For each word found, in list order, the text around its first place; at most `most`."""
-    low, raw = lower(text), F.coalesce(text, F.lit(""))
-    at = F.filter(F.transform(F.array(*map(F.lit, words)), lambda w: F.instr(low, w)), lambda p: p > 0)
+    raw = F.coalesce(text, F.lit(""))
+    at = let(lower(text), lambda low: F.filter(F.transform(F.array(*map(F.lit, words)), lambda w: F.instr(low, w)), lambda p: p > 0))
     cut = F.transform(at, lambda p: F.trim(F.substr(raw, F.greatest(F.lit(1), p - before), F.least(p - 1, F.lit(before)) + after)))
     return F.slice(cut, 1, most)
 
@@ -217,8 +226,7 @@ def friction(text: Column, markers: Sequence[str]) -> Column:
 
 
 def anchor_hits(text: Column, anchors: Column) -> Column:
-    low = lower(text)
-    return F.size(F.filter(F.coalesce(anchors, F.array().cast("array<string>")), lambda a: F.contains(low, F.lower(a))))
+    return let(lower(text), lambda low: F.size(F.filter(F.coalesce(anchors, F.array().cast("array<string>")), lambda a: F.contains(low, F.lower(a)))))
 
 
 def narrative_checks(text: Column, name: Column, least: int = 50, most: int = 4000) -> Column:

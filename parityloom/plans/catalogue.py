@@ -497,7 +497,7 @@ def token_counts(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", long(F.size(text.tokens(F.col("text")))).alias("n"))
 
 
-@query(f"""WITH w AS (SELECT {WORDS_SQL} AS w FROM documents WHERE length(trim(text)) > 0), g AS (SELECT unnest(list_transform(range(1, len(w) - 1), i -> array_to_string(w[i:i+2], ' '))) AS g FROM w WHERE len(w) >= 3), c AS (SELECT count(*) AS c FROM g GROUP BY g)
+@query(f"""WITH w AS (SELECT {WORDS_SQL} AS w FROM documents WHERE length(trim(text)) > 0), g AS (SELECT unnest(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i+2], ' '))) AS g FROM w WHERE len(w) >= 3), c AS (SELECT count(*) AS c FROM g GROUP BY g)
 SELECT count(*) AS grams, count(*) FILTER (c > 1) AS repeated, round(count(*) FILTER (c > 1) / count(*), 6) AS rate FROM c""")
 def trigram_repetition(spark, sf_dir):
     got = quality.trigram_repetition(table(spark, sf_dir, "documents"), ["text"])
@@ -534,7 +534,7 @@ def regex_flags(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", t.rlike("[0-9]{3}").alias("digits"), t.rlike(r"[\w.+-]+@[\w-]+\.\w+").alias("mail"), long(text.count_matches(t, "[.!?]")).alias("stops"))
 
 
-@query("""SELECT doc_id, array_to_string(list_filter(['license', 'copyright', 'ing the', 'password'], w -> contains(lower(text), w)), ',') AS found FROM documents""")
+@query("""SELECT doc_id, array_to_string(list_filter(['license', 'copyright', 'ing the', 'password'], lambda w: contains(lower(text), w)), ',') AS found FROM documents""")
 def banned_words(spark, sf_dir):
     words = ["license", "copyright", "ing the", "password"]
     return table(spark, sf_dir, "documents").select("doc_id", F.array_join(text.found_words(F.col("text"), words), ",").alias("found"))
@@ -563,8 +563,8 @@ def marker_sections(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.trim(F.regexp_extract("html", "<title>([^<]*)</title>", 1)).alias("title"), long(text.count_matches(F.col("html"), "<p[ >]")).alias("paragraphs"))
 
 
-@query("""WITH a AS (SELECT doc_id, text, list_filter(list_transform(['the ', 'que ', 'ing '], w -> instr(lower(text), w)), p -> p > 0) AS at FROM documents)
-SELECT doc_id, array_to_string(list_transform(at, p -> trim(substr(text, CAST(greatest(1, p - 30) AS BIGINT), CAST(least(p - 1, 30) + 100 AS BIGINT)), ' ')), '|') AS windows FROM a""")
+@query("""WITH a AS (SELECT doc_id, text, list_filter(list_transform(['the ', 'que ', 'ing '], lambda w: instr(lower(text), w)), lambda p: p > 0) AS places FROM documents)
+SELECT doc_id, array_to_string(list_transform(places, lambda p: trim(substr(text, CAST(greatest(1, p - 30) AS BIGINT), CAST(least(p - 1, 30) + 100 AS BIGINT)), ' ')), '|') AS windows FROM a""")
 def context_window(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.array_join(text.context_windows(F.col("text"), ["the ", "que ", "ing "]), "|").alias("windows"))
 
@@ -582,8 +582,8 @@ def section_parser(spark, sf_dir):
 
 # ---- near duplicates -----------------------------------------------------------------------------
 
-SHINGLES_SQL = f"""w AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents), s AS (SELECT doc_id, list_distinct(list_transform(range(1, len(w) - 1), i -> array_to_string(w[i:i+2], ' '))) AS s FROM w WHERE len(w) >= 3),
-g AS (SELECT doc_id, list_transform(range(0, 20), i -> list_min(list_transform(s, x -> md5(x || '_' || i)))) AS sig FROM s)"""
+SHINGLES_SQL = f"""w AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents), s AS (SELECT doc_id, list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i+2], ' '))) AS s FROM w WHERE len(w) >= 3),
+g AS (SELECT doc_id, list_transform(range(0, 20), lambda i: list_min(list_transform(s, lambda x: md5(x || '_' || i)))) AS sig FROM s)"""
 
 
 @query(f"WITH {SHINGLES_SQL} SELECT doc_id, array_to_string(sig, '') AS sig FROM g")
@@ -601,7 +601,7 @@ def near_dup_classes(spark, sf_dir):
     return duplicates.similar_classes(table(spark, sf_dir, "documents"), "doc_id", "text")[1].select("doc_id", "class")
 
 
-@query(f"""WITH {SHINGLES_SQL} SELECT x.doc_id AS a, y.doc_id AS b, round(len(list_filter(range(1, 21), i -> x.sig[i] = y.sig[i])) / 20, 6) AS similarity FROM g x JOIN g y ON x.doc_id % 10 = 0 AND y.doc_id > x.doc_id AND y.doc_id < x.doc_id + 10""")
+@query(f"""WITH {SHINGLES_SQL} SELECT x.doc_id AS a, y.doc_id AS b, round(len(list_filter(range(1, 21), lambda i: x.sig[i] = y.sig[i])) / 20, 6) AS similarity FROM g x JOIN g y ON x.doc_id % 10 = 0 AND y.doc_id > x.doc_id AND y.doc_id < x.doc_id + 10""")
 def similarity_dist(spark, sf_dir):
     return duplicates.neighbour_similarity(table(spark, sf_dir, "documents"), "doc_id", "text").select("a", "b", r6("similarity").alias("similarity"))
 
@@ -614,7 +614,7 @@ def text_quality_report(spark, sf_dir):
 # ---- nested --------------------------------------------------------------------------------------
 
 
-@query("SELECT a.vec_id, round(sqrt(list_sum(list_transform(range(1, len(a.embedding) + 1), i -> (a.embedding[i]::DOUBLE - b.embedding[i]::DOUBLE) ^ 2))), 6) AS distance FROM embeddings a, embeddings b WHERE b.vec_id = 0")
+@query("SELECT a.vec_id, round(sqrt(list_sum(list_transform(range(1, len(a.embedding) + 1), lambda i: (a.embedding[i]::DOUBLE - b.embedding[i]::DOUBLE) ^ 2))), 6) AS distance FROM embeddings a, embeddings b WHERE b.vec_id = 0")
 def embedding_distance(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
     origin = e.where("vec_id = 0").select(F.col("embedding").alias("o"))

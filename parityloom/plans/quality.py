@@ -30,8 +30,8 @@ def lexical_diversity(df: DataFrame, texts: Sequence[str]) -> DataFrame:
 
 def sentence_starters(df: DataFrame, texts: Sequence[str]) -> DataFrame:
     """Entropy of the first words of sentences, and the part of them that is different."""
-    first = F.get(F.split(F.explode(t.sentences(F.lower("text"))), r"\s+"), F.lit(0))
-    counts = _fields(df, texts).select(first.alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    each = _fields(df, texts).select(F.explode(t.sentences(F.lower("text"))).alias("s"))
+    counts = each.select(F.get(F.split("s", r"\s+"), F.lit(0)).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
     return divergence.entropy(counts).crossJoin(counts.agg(F.sum("n").alias("total"))).select("entropy", (F.col("categories") / F.col("total")).alias("unique_ratio"))
 
 
@@ -45,7 +45,7 @@ def constraint_classes(df: DataFrame, constraints: str, keywords: Mapping[str, S
 
 
 def classes_by_group(df: DataFrame, constraints: str, group: str, keywords: Mapping[str, Sequence[str]] = t.CONSTRAINTS) -> DataFrame:
-    rows = df.select(group, t.keyword_class(F.explode(constraints), keywords).alias("class"))
+    rows = df.select(group, F.explode(constraints).alias("c")).select(group, t.keyword_class(F.col("c"), keywords).alias("class"))
     return profile.crosstab_shares(rows, group, "class")
 
 
