@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 # Z by confidence, and the coefficients of the normal tail.
 Z = {0.90: 1.645, 0.95: 1.96, 0.99: 2.576}
@@ -38,7 +39,7 @@ def chi2_sf(statistic: float, df: float) -> float:
     return 1.0 if df <= 0 else gamma_upper(df / 2, statistic / 2)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def chi2_p(statistic: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([None if pd.isna(s) or pd.isna(d) else chi2_sf(s, d) for s, d in zip(statistic, df, strict=True)], dtype="float64")
 

@@ -11,6 +11,7 @@ from collections.abc import Callable, Mapping, Sequence
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 WORD = r"[\p{L}\p{M}\p{N}_]+"
 # Opening moves by anchored pattern, categories and trait words by keyword, words that name a trait.
@@ -74,7 +75,7 @@ def shingles(text: Column, k: int = 3) -> Column:
 
 
 def sentences(text: Column) -> Column:
-    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), r"[.!?]+"), F.trim), lambda s: s != "")
+    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), r"[.!?]+"), lambda s: F.trim(s)), lambda s: s != "")
 
 
 def first_sentence(text: Column, chars: int = 50) -> Column:
@@ -130,7 +131,7 @@ def normalise_place(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(fold_marks(text), "municipiul", "mun"), "[.,]", ""), r"\s+", " "))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkd(text: pd.Series) -> pd.Series:
     """Compatibility decomposition without combining marks; Spark has no such function."""
     return text.map(lambda t: None if t is None else "".join(c for c in unicodedata.normalize("NFKD", t.lower()) if not unicodedata.combining(c)))
