@@ -39,7 +39,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, queries.tokenizer("byte_bpe_50k.json"), queries.WINDOW, queries.PACK_END)
+    return packing.pack(docs, queries.tokenizer("byte_bpe_50k.json"), queries.WINDOW, queries.PACK_END, literal=False)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -4,6 +4,11 @@ A text is cut at single spaces between two characters that are no white space.
 The pre-tokenizers this is used for never put characters from both sides of such
 a space in one token, so the ids of the chunks, joined, are the ids of the text.
 For any other tokenizer file the texts are encoded whole.
+
+The added tokens of the file (such as an end-of-text mark) that stand in a text get
+their own ids, as the library does by itself; or, with literal, those of their
+characters. The library takes added tokens out first and encodes what is between
+them apart, so a text is cut around them.
 """
 
 from __future__ import annotations
@@ -50,16 +55,27 @@ def _cut_of(config: dict) -> str:
     return "whole"
 
 
+def _apart(added: list[dict]) -> bool:
+    """Each added token is found as it stands, in any surroundings, and has no white space."""
+    return not any(a["single_word"] or a["lstrip"] or a["rstrip"] or a["normalized"] or re.search(r"\s", a["content"]) for a in added)
+
+
 class Encoder:
     """Serialised ids (little-endian unsigned 32-bit) of texts."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, literal: bool = True):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = literal
         with open(path, encoding="utf-8") as f:
-            self.cut = _cut_of(json.load(f))
+            config = json.load(f)
+        self.cut, added = _cut_of(config), [] if literal else config.get("added_tokens") or []
+        if not _apart(added):
+            self.cut = "whole"
+        self.added = {a["content"]: array("I", [a["id"]]).tobytes() for a in added}
+        # the longest of those that start at one place, as in the library
+        self.around = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
         self.known: dict[str, bytes] = {}
         self.stop = dict(zip(",.", self._ids([",", "."]), strict=True))
 
@@ -121,13 +137,17 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.cut == "whole":
             return [x for t in texts for x in self._ids([t])]
+        # texts and added tokens in turn
+        parts = [self.around.split(t) if any(a in t for a in self.added) else [t] for t in texts]
+        between = [p for ps in parts for p in ps[::2]]
         out: list[bytes] = []
-        for a, b in runs(texts):
-            out += self._run(texts[a:b])
-        return out
+        for a, b in runs(between):
+            out += self._run(between[a:b])
+        ids = iter(out)
+        return [b"".join(self.added[p] if i % 2 else next(ids) for i, p in enumerate(ps)) for ps in parts]
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> Encoder:
-    """One encoder a worker process and file."""
-    return Encoder(path)
+def encoder(path: str, literal: bool = True) -> Encoder:
+    """One encoder a worker process, file and way."""
+    return Encoder(path, literal)

@@ -43,13 +43,13 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def train(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> bytes:
+def train(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", literal: bool = True) -> bytes:
     """A dictionary from a bounded sample; empty if there is too little to learn from."""
     import zstandard
 
     sample = _texts(docs, id_col, text_col).where(F.length("text") <= SAMPLE_CHARS).orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(SAMPLE_DOCS)
     end = np.array([end_id], "<u4").tobytes()
-    arrays = [x + end for x in encoder(tokenizer).encode([r["text"] for r in sample.collect()])]
+    arrays = [x + end for x in encoder(tokenizer, literal).encode([r["text"] for r in sample.collect()])]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, arrays).as_bytes()
     except zstandard.ZstdError:
@@ -60,17 +60,17 @@ def _hash(dictionary: bytes) -> str:
     return hashlib.sha256(dictionary).hexdigest()
 
 
-def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> str:
-    """Encode, sort by id and write; the path is returned."""
+def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", literal: bool = True) -> str:
+    """Encode, sort by id and write; the path is returned. With literal, added tokens in a text are mere characters."""
     spark = docs.sparkSession
     small_batches(spark)
-    dictionary = train(docs, tokenizer, end_id, id_col, text_col)
+    dictionary = train(docs, tokenizer, end_id, id_col, text_col, literal)
     key, end = _hash(dictionary), np.array([end_id], "<u4").tobytes()
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        enc, shard = encoder(tokenizer), TaskContext.get().partitionId()
+        enc, shard = encoder(tokenizer, literal), TaskContext.get().partitionId()
         known = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         press = zstandard.ZstdCompressor(level=LEVEL, dict_data=known)
         docs_: list[tuple] = []
@@ -150,8 +150,8 @@ def read(spark: SparkSession, path: str, doc_ids: list[int] | None = None) -> Da
     return found.join(F.broadcast(few), "shard").select("doc_id", (F.col("base") + F.col("first")).alias("start"), "n_tokens", "ids")
 
 
-def encoded(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encoded(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", literal: bool = True) -> DataFrame:
     """Write to a new folder beside the checkpoints and read everything back."""
     spark = docs.sparkSession
     path = f"{shared_folder(spark)}/ids-{uuid.uuid4().hex}"
-    return read(spark, write(docs, path, tokenizer, end_id, id_col, text_col))
+    return read(spark, write(docs, path, tokenizer, end_id, id_col, text_col, literal))

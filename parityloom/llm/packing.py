@@ -37,13 +37,13 @@ TRIPLE_LENGTHS = 96
 STEPS = 400
 
 
-def pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int, id_col: str = "doc_id", text_col: str = "text", literal: bool = True) -> DataFrame:
     """Full windows and the rest of every document, with ids as 32-bit little-endian."""
     small_batches(docs.sparkSession)
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, literal)
         for b in batches:
             cols: list[list] = [[], [], [], [], []]
             for doc, ids in zip(b.column(0).to_pylist(), enc.encode(b.column(1).to_pylist()), strict=True):
@@ -134,9 +134,9 @@ def _plan(counts: dict[tuple[int, int], int], window: int) -> dict:
     return {"first": first, "slots": slots, "used": used, "before": before, "sequences": sequences, "tail": np.array(ends), "streamed": total // window + len(ends) - 1}
 
 
-def pack(docs: DataFrame, tokenizer: str, window: int = 1024, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every id of every document in exactly one piece: PACKED columns."""
-    cut = saved(pieces(docs, tokenizer, window, end_id, id_col, text_col), "pieces", "zstd")
+def pack(docs: DataFrame, tokenizer: str, window: int = 1024, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", literal: bool = True) -> DataFrame:
+    """Every id of every document in exactly one piece: PACKED columns. With literal, added tokens in a text are mere characters."""
+    cut = saved(pieces(docs, tokenizer, window, end_id, id_col, text_col, literal), "pieces", "zstd")
     lane = F.pmod(F.xxhash64("doc_id", "doc_tokens", F.substring("ids", 1, 64)), F.lit(LANES)).cast("int")
     rests = cut.where(F.col("length") < window).withColumn("lane", lane)
     counts = {(r["length"], r["lane"]): r["count"] for r in rests.groupBy("length", "lane").count().collect()}

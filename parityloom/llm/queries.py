@@ -40,7 +40,7 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), WINDOW, PACK_END)
+    packed = packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), WINDOW, PACK_END, literal=False)
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
@@ -60,7 +60,7 @@ def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    read = idfile.encoded(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), FILE_END)
+    read = idfile.encoded(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), FILE_END, literal=False)
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
