@@ -34,6 +34,22 @@ def saved(df: DataFrame, tag: str, codec: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, name: str, id_col: str = "doc_id", text_col: str = "text", nulls_first: bool = True) -> DataFrame:
+    """docs with a number of each row, in the order of the ids.
+
+    It is the id itself where all have one of their own. If ids are null or repeated,
+    rows are sorted by id and by the hash of their text, numbered and saved; rows that
+    are equal in both spread over tasks as well.
+    """
+    doc = F.col(id_col).cast("long")
+    if docs.select(doc.alias("id")).groupBy("id").count().where("count > 1 OR id IS NULL").isEmpty():
+        return docs.withColumn(name, doc)
+    columns = docs.columns
+    order = [doc.asc_nulls_first() if nulls_first else doc.asc_nulls_last(), F.xxhash64(text_col), F.col("tie_")]
+    placed = docs.withColumn("tie_", F.monotonically_increasing_id()).repartitionByRange(shuffle_width(docs.sparkSession), *order).sortWithinPartitions(*order)
+    return saved(placed.select(*columns, F.monotonically_increasing_id().alias(name)), "numbered", "zstd")
+
+
 def small_batches(spark: SparkSession) -> None:
     """Keep the Arrow batches of long texts small."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
