@@ -38,6 +38,8 @@ AWAY = frozenset("nav footer aside form menu dialog button fieldset".split())
 TOWARDS = frozenset("article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 AWAY_WORDS = frozenset("ad ads advert advertisement advertisements adbox adsense banner billboard breadcrumb breadcrumbs comment comments cookie cookies consent copyright disclaimer discussion disqus donate feedback footer form gdpr header hidden legal login masthead menu modal nav navbar navigation newsletter notice notices overlay pager pagination popular popup promo promoted promotion recommended related replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription tags teaser toolbar topbar tracking trending warning widget widgets".split())
+#: Of these, the words for remarks of readers and for lists of other pages.
+LISTED = frozenset("comment comments discussion disqus popular promo promoted promotion recommended related replies reply respond sponsor sponsored teaser trending".split())
 TOWARDS_WORDS = frozenset("article articlebody body content entry main maincontent page post posts story text".split())
 CLOSES_P = BLOCK - {"caption", "legend", "button", "option", "optgroup"}
 SAME = {"li": ("ul", "ol", "menu"), "option": ("select",), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr",), "th": ("tr",)}
@@ -59,27 +61,30 @@ class Block:
     parents: tuple[int, ...]  # numbers of the open elements
 
 
-def _leaning(tag: str, attrs: str, inside: bool) -> tuple[float, bool]:
-    """What an element says of the blocks in it, and whether it is hidden or names a role away."""
+def _leaning(tag: str, attrs: str, inside: bool) -> tuple[float, bool, bool]:
+    """What an element says of the blocks in it, whether it is hidden or names a role away, and whether its words are of LISTED."""
+    listed = False
     score = AWAY_WEIGHT if tag in AWAY or (tag == "header" and not inside) else TOWARDS_WEIGHT if tag in TOWARDS else 0.0
     if attrs:
         if _HIDDEN.search(attrs):
-            return AWAY_WEIGHT * 2, True
+            return AWAY_WEIGHT * 2, True, False
         for value in _NAMED.findall(attrs):
             named = {w.lower() for w in _PIECE.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value))}
             if named & AWAY_WORDS and not (tag in TOWARDS or tag == "body"):
                 score += WORDS_AWAY
+                listed = listed or bool(named & LISTED)
             elif named & TOWARDS_WORDS:
                 score += WORDS_TOWARDS
-    return score, score <= WORDS_AWAY
+    return score, score <= WORDS_AWAY, listed
 
 
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page in order."""
     out: list[Block] = []
-    stack: list[tuple[str, int, float]] = []  # tag, number, leaning so far
+    stack: list[tuple[str, int, float, bool]] = []  # tag, number, leaning so far, whether an article may replace it
     parts: list[str] = []
     count = linked = at = 0
+    begun = False  # an article has
 
     def lean() -> float:
         return stack[-1][2] if stack else 0.0
@@ -169,11 +174,20 @@ def blocks(page: str) -> list[Block]:
             continue
         count += 1
         inside = any(s[0] in TOWARDS for s in stack)
-        own, away = _leaning(tag, attrs, inside)
+        own, away, listed = _leaning(tag, attrs, inside)
         before = lean()
+        weak = bool(stack) and stack[-1][3]
         # the innermost strong statement holds: an article in a page called sidebar is one, an advert in an article too
-        total = own if away else before + own if before >= 0 or own <= 0 else before + min(own, 1.0)
-        stack.append((tag, count, max(-20.0, min(8.0, total))))
+        if away or (tag in TOWARDS and before < 0 and weak):
+            total = own
+        else:
+            total = before + own if before >= 0 or own <= 0 else before + min(own, 1.0)
+        if own < 0:
+            # words and a form may stand around a page; remarks and other pages' teasers come after its article has begun
+            named = own != AWAY_WEIGHT * 2 and (tag == "form" or (tag not in AWAY and tag != "header"))  # not hidden, nor by its tag
+            weak = named and (before >= 0 or weak) and not (listed and begun)
+        begun = begun or tag == "article"
+        stack.append((tag, count, max(-20.0, min(8.0, total)), weak))
     flush()
     return out
 
