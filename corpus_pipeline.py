@@ -3,7 +3,8 @@
 Every stage reads what the stage before it wrote. A toxic document goes; lines
 that repeat an earlier line go; of each group of near copies the document with
 the smallest id stays; documents that hold a benchmark item go; what is left is
-packed. Null ids are kept by every stage. An empty table gives an empty table.
+packed. No row goes for its id being null or repeated; a null id is the largest among
+near copies. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.kept(docs, simhash.near_duplicates(docs))
+    return simhash.first_copies(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, shuffle_width, small_batches
+from .common import numbered, saved, shuffle_width, small_batches
 from .components import components
 
 SHINGLE, SEED, RADIUS, CHUNK, SMALL = 4, 42, 4, 2048, 12
@@ -226,7 +226,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(final, "fp").select("doc_id", "fp", "component_id")
 
 
-def kept(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Rows of docs, without those whose id is larger than the id of their component."""
-    later = found.where(F.col("doc_id") > F.col("component_id")).select("doc_id").distinct()
-    return docs.join(later, "doc_id", "left_anti")
+def kept(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Rows of docs, without those whose id is larger than the id of their component; ids are to be unique."""
+    later = found.where(F.col("doc_id") > F.col("component_id")).select(F.col("doc_id").alias(id_col)).distinct()
+    return docs.join(later, id_col, "left_anti")
+
+
+def first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Of each group of near copies one row: that of the smallest id, a null id being the largest."""
+    rows = numbered(docs, "row_", id_col, text_col, nulls_first=False)
+    return kept(rows, near_duplicates(rows, "row_", text_col), "row_").select(*docs.columns)

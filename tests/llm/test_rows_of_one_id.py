@@ -40,3 +40,22 @@ def test_lines_of_rows_that_share_ids(spark, ids):
         assert all(c == 1 for c in stay.values())
     text = line_dedup.without_later(spark.createDataFrame(rows, SCHEMA)).collect()
     assert len(text) == len(rows) and sum(len([x for x in (r["text"] or "").split("\n") if x.split()]) for r in text) == sum(len(r["kept"]) for r in got)
+
+
+def test_one_row_of_each_group_of_near_copies_stays(spark):
+    import corpus_pipeline
+
+    alone = "a text that no other row has anything like in any of its many words"
+    many = "one two three four five six seven eight nine ten eleven twelve"
+    cases = [
+        ([(None, many), (None, many), (7, many), (7, many), (None, alone)], [(7, many), (None, alone)]),
+        ([(None, many), (None, many), (8, alone)], [(8, alone), (None, many)]),
+        # the only one of its group has the id of another group's later copy
+        ([(1, many), (2, many), (2, alone)], [(1, many), (2, alone)]),
+        ([(1, many), (2, many), (3, alone)], [(1, many), (3, alone)]),
+    ]
+    for rows, want in cases:
+        docs = spark.createDataFrame(rows, SCHEMA)
+        got = corpus_pipeline.without_near_copies(spark, docs, "")
+        assert got.columns == docs.columns
+        assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == Counter(want)
