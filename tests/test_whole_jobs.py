@@ -4,6 +4,9 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from parityloom.llm import neighbours
+from parityloom.plans import catalogue
+
+SF = "/root/testdata/sf0.001"
 
 
 def test_recall_at_128_dimensions(spark):
@@ -14,3 +17,13 @@ def test_recall_at_128_dimensions(spark):
     s = x[::50] @ x.T
     s[np.arange(50), np.arange(0, 2500, 50)] = -2
     assert len(got & {(50 * i, j) for i, r in enumerate(np.argsort(-s)[:, :5].tolist()) for j in r}) >= 0.9 * 250
+
+
+def test_roundtrip_sees_every_row_of_every_format(spark, monkeypatch):
+    read = catalogue.readers.read
+    n = spark.read.parquet(f"{SF}/customer.parquet").count()
+    assert catalogue.sink_roundtrip(spark, SF).count() == n
+    for key in range(1, 5):
+        # one format loses one row
+        monkeypatch.setattr(catalogue.readers, "read", lambda s, p, schema, key=key: read(s, p, schema).where((F.col("c_custkey") != key) | F.lit("csv" not in p)))
+        assert catalogue.sink_roundtrip(spark, SF).count() == n + 1
