@@ -747,7 +747,7 @@ def population_rules(spark, sf_dir):
 
 @query()
 def corrected_population(spark, sf_dir):
-    return people.corrected(spark, 2000)[0]
+    return people.corrected(spark, table(spark, sf_dir, "orders").count())[0]
 
 
 # ---- sinks ---------------------------------------------------------------------------------------

@@ -27,3 +27,7 @@ def test_roundtrip_sees_every_row_of_every_format(spark, monkeypatch):
         # one format loses one row
         monkeypatch.setattr(catalogue.readers, "read", lambda s, p, schema, key=key: read(s, p, schema).where((F.col("c_custkey") != key) | F.lit("csv" not in p)))
         assert catalogue.sink_roundtrip(spark, SF).count() == n + 1
+
+
+def test_corrected_population_grows_with_the_orders(spark):
+    assert catalogue.corrected_population(spark, SF).count() == spark.read.parquet(f"{SF}/orders.parquet").count() != 2000
