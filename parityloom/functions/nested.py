@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.common import small
+
 
 def list_to_json(values: Column) -> Column:
     """JSON text of a list; [] for null."""
@@ -45,7 +47,7 @@ def lenient_field(text: Column, key: str, default: str = "") -> Column:
 
 def bounded_fields(rows: DataFrame, values: str, bounds: DataFrame) -> DataFrame:
     """Keys of the map column whose text is shorter or longer than bounds (key, least, most) say."""
-    return rows.select("*", F.explode_outer(values).alias("key", "value")).join(F.broadcast(bounds.limit(10_000)), "key").where(~F.length("value").between(F.col("least"), F.col("most")))
+    return rows.select("*", F.explode_outer(values).alias("key", "value")).join(small(bounds), "key").where(~F.length("value").between(F.col("least"), F.col("most")))
 
 
 def leaves(rows: DataFrame, nested: str) -> DataFrame:
