@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,17 +22,51 @@ def _own_folder() -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all machines share, or a folder of our own if none is named."""
+    """The folder all machines share. Only a local session may go without: it takes a folder of its own."""
     given = spark.conf.get("spark.checkpoint.dir", None)
+    if not given and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return (given or _own_folder()).rstrip("/")
 
 
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def saved(df: DataFrame, tag: str, codec: str = "snappy") -> DataFrame:
-    """Cut the lineage of df: write it to the shared folder and read it again."""
+    """Cut the lineage of df: write it to the shared folder and read it again.
+
+    What was shuffled for it goes once it is written; nothing reads that again.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    with _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.option("compression", codec).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.saved_at = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete saved tables that nothing reads any more."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.saved_at)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def unused(columns: list[str], name: str) -> str:
+    """name, or name with as many underscores as it takes to be none of columns."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def numbered(docs: DataFrame, name: str, id_col: str = "doc_id", text_col: str = "text", nulls_first: bool = True) -> DataFrame:
@@ -45,8 +80,9 @@ def numbered(docs: DataFrame, name: str, id_col: str = "doc_id", text_col: str =
     if docs.select(doc.alias("id")).groupBy("id").count().where("count > 1 OR id IS NULL").isEmpty():
         return docs.withColumn(name, doc)
     columns = docs.columns
-    order = [doc.asc_nulls_first() if nulls_first else doc.asc_nulls_last(), F.xxhash64(text_col), F.col("tie_")]
-    placed = docs.withColumn("tie_", F.monotonically_increasing_id()).repartitionByRange(shuffle_width(docs.sparkSession), *order).sortWithinPartitions(*order)
+    tie = unused(columns, "tie")
+    order = [doc.asc_nulls_first() if nulls_first else doc.asc_nulls_last(), F.xxhash64(text_col), F.col(tie)]
+    placed = docs.withColumn(tie, F.monotonically_increasing_id()).repartitionByRange(shuffle_width(docs.sparkSession), *order).sortWithinPartitions(*order)
     return saved(placed.select(*columns, F.monotonically_increasing_id().alias(name)), "numbered", "zstd")
 
 
