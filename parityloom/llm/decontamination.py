@@ -68,6 +68,8 @@ def tiles(item: np.ndarray, text: np.ndarray, least: int = SEED) -> list[tuple[i
                     places[int(hashes[at])].append(at)
                     continue
                 for t in places.get(int(hashes[at]), ()):
+                    if at and t and free_i[at - 1] and free_t[t - 1] and item[at - 1] == text[t - 1]:
+                        continue  # the end of a match that starts earlier
                     n = 0
                     while at + n < len(item) and t + n < len(text) and free_i[at + n] and free_t[t + n] and item[at + n] == text[t + n]:
                         n += 1
@@ -76,14 +78,18 @@ def tiles(item: np.ndarray, text: np.ndarray, least: int = SEED) -> list[tuple[i
         if found and max(found) > 2 * size:
             size = max(found)
             continue
+        marked = cut = False
         for n in sorted(found, reverse=True):
             for i, t in found[n]:
                 if free_i[i : i + n].all() and free_t[t : t + n].all():
                     out.append((i, t, n))
                     free_i[i : i + n] = False
                     free_t[t : t + n] = False
-        if found and any(free_i[i : i + size].all() and free_t[t : t + size].all() for v in found.values() for i, t in v):
-            continue  # a longer match was cut by a tile; what is left of it is tried again
+                    marked = True
+                else:
+                    cut = True
+        if marked and cut:
+            continue  # a match was cut by a tile; what is left of it is tried again
         if size == least:
             return out
         size = max(least, size // 2)

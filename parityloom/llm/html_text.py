@@ -19,7 +19,6 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -58,7 +57,8 @@ _PIECE = re.compile(r"[A-Za-z]+")
 class Block:
     text: str
     logit: float
-    parents: tuple[int, ...]  # numbers of the open elements
+    parent: int  # number of the innermost open block element, 0 for the page
+    depth: int  # number of open block elements
 
 
 def _leaning(tag: str, attrs: str, inside: bool) -> tuple[float, bool, bool]:
@@ -78,10 +78,18 @@ def _leaning(tag: str, attrs: str, inside: bool) -> tuple[float, bool, bool]:
     return score, score <= WORDS_AWAY, listed
 
 
-def blocks(page: str) -> list[Block]:
-    """The text blocks of a page in order."""
+def blocks(page: str) -> tuple[list[Block], list[int]]:
+    """The text blocks of a page in order, and for each element's number that of the block element around it.
+
+    Unclosed and unopened tags cost no look through all open elements: their places
+    are kept by tag.
+    """
     out: list[Block] = []
     stack: list[tuple[str, int, float, bool]] = []  # tag, number, leaning so far, whether an article may replace it
+    around: list[int] = [0]
+    # places in the stack by tag, and of all block elements
+    open_: dict[str, list[int]] = {}
+    boxes: list[int] = []
     parts: list[str] = []
     count = linked = at = 0
     begun = False  # an article has
@@ -89,6 +97,17 @@ def blocks(page: str) -> list[Block]:
     def lean() -> float:
         return stack[-1][2] if stack else 0.0
 
+    def cut(i: int) -> None:
+        """Close the element at place i and all in it."""
+        for tag, *_ in reversed(stack[i:]):
+            open_[tag].pop()
+            if tag in BLOCK:
+                boxes.pop()
+        del stack[i:]
+
+    def last(tag: str) -> int:
+        return open_[tag][-1] if open_.get(tag) else -1
+
     def flush() -> None:
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split()) if parts else ""
@@ -96,8 +115,8 @@ def blocks(page: str) -> list[Block]:
             n = text.count(" ") + 1
             logit = BIAS + lean() + WORDS * math.log(n) + LINKS * min(1.0, linked / max(1, len(text)))
             logit += SENTENCE if text[-1] in ".!?…:;\"'”»" else 0.0
-            logit += HEADING if any(s[0] in HEADINGS for s in stack) else 0.0
-            out.append(Block(text, logit, tuple(s[1] for s in stack if s[0] in BLOCK)))
+            logit += HEADING if any(open_.get(h) for h in HEADINGS) else 0.0
+            out.append(Block(text, logit, stack[boxes[-1]][1] if boxes else 0, len(boxes)))
         parts.clear()
         linked = 0
 
@@ -119,17 +138,12 @@ def blocks(page: str) -> list[Block]:
             continue
         tag = tag.lower()
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    if tag in BLOCK:
-                        flush()
-                    elif any(s[0] in BLOCK for s in stack[i + 1 :]):
-                        break  # an inline end tag does not close blocks
-                    del stack[i:]
-                    break
-            else:
-                if tag in BLOCK:
-                    flush()
+            i = last(tag)
+            if tag in BLOCK:
+                flush()
+            # an inline end tag does not close blocks
+            if i >= 0 and (tag in BLOCK or not boxes or boxes[-1] < i):
+                cut(i)
             continue
         if tag in RAW or tag in SILENT:
             silent = tag
@@ -157,23 +171,17 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag in BLOCK:
             flush()
-            if tag in CLOSES_P:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == "p":
-                        del stack[i:]
-                        break
-                    if stack[i][0] in BLOCK:
-                        break
-            for i in range(len(stack) - 1, -1, -1) if tag in SAME else ():
-                if stack[i][0] in SAME[tag]:
-                    break
-                if stack[i][0] == tag or {stack[i][0], tag} <= {"dt", "dd"} or {stack[i][0], tag} <= {"td", "th"}:
-                    del stack[i:]
-                    break
+            if tag in CLOSES_P and boxes and stack[boxes[-1]][0] == "p":
+                cut(boxes[-1])
+            if tag in SAME:
+                pair = next((x for x in (("dt", "dd"), ("td", "th")) if tag in x), (tag,))
+                i = max(map(last, pair))
+                if i > max(map(last, SAME[tag]), default=-1):
+                    cut(i)
         if attrs.endswith("/") and tag not in BLOCK:
             continue
         count += 1
-        inside = any(s[0] in TOWARDS for s in stack)
+        inside = any(open_.get(t) for t in TOWARDS)
         own, away, listed = _leaning(tag, attrs, inside)
         before = lean()
         weak = bool(stack) and stack[-1][3]
@@ -187,9 +195,13 @@ def blocks(page: str) -> list[Block]:
             named = own != AWAY_WEIGHT * 2 and (tag == "form" or (tag not in AWAY and tag != "header"))  # not hidden, nor by its tag
             weak = named and (before >= 0 or weak) and not (listed and begun)
         begun = begun or tag == "article"
+        around.append(stack[boxes[-1]][1] if boxes else 0)
+        open_.setdefault(tag, []).append(len(stack))
+        if tag in BLOCK:
+            boxes.append(len(stack))
         stack.append((tag, count, max(-20.0, min(8.0, total)), weak))
     flush()
-    return out
+    return out, around
 
 
 def minimum_cut(logits: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
@@ -197,7 +209,8 @@ def minimum_cut(logits: list[float], edges: list[tuple[int, int, float]]) -> lis
 
     Only the difference of a node's two costs matters: it is the capacity from the
     source (content) or to the sink (boilerplate). Flow runs along shortest
-    augmenting paths; nodes that the source still reaches are content.
+    augmenting paths, all those of one length at a time; nodes that the source
+    still reaches are content.
     """
     n = len(logits)
     supply = [max(0.0, x) for x in logits]
@@ -212,45 +225,70 @@ def minimum_cut(logits: list[float], edges: list[tuple[int, int, float]]) -> lis
             room.append(w)
     tiny = 1e-12
     while True:
-        came: list[int] = [-2] * n
-        queue = deque(i for i in range(n) if supply[i] > tiny)
-        for i in queue:
-            came[i] = -1
-        end = -1
-        while queue:
-            i = queue.popleft()
-            if demand[i] > tiny:
-                end = i
-                break
-            for e in near[i]:
-                if room[e] > tiny and came[to[e]] == -2:
-                    came[to[e]] = e
-                    queue.append(to[e])
-        if end < 0:
-            return [c != -2 for c in came]
-        path, i = [], end
-        while came[i] != -1:
-            path.append(came[i])
-            i = to[came[i] ^ 1]
-        flow = min(supply[i], demand[end], min((room[e] for e in path), default=math.inf))
-        supply[i] -= flow
-        demand[end] -= flow
-        for e in path:
-            room[e] -= flow
-            room[e ^ 1] += flow
+        level, front, far = [-1] * n, [i for i in range(n) if supply[i] > tiny], 0
+        for i in front:
+            level[i] = 0
+        sources = front
+        while front and not any(demand[i] > tiny for i in front):
+            far += 1
+            ahead = []
+            for i in front:
+                for e in near[i]:
+                    if room[e] > tiny and level[to[e]] < 0:
+                        level[to[e]] = far
+                        ahead.append(to[e])
+            front = ahead
+        if not front:
+            return [x >= 0 for x in level]
+        tried = [0] * n
+        for s in sources:
+            path: list[int] = []
+            i = s
+            while supply[s] > tiny:
+                if level[i] == far and demand[i] > tiny:
+                    flow = min(supply[s], demand[i], min((room[e] for e in path), default=math.inf))
+                    supply[s] -= flow
+                    demand[i] -= flow
+                    for e in path:
+                        room[e] -= flow
+                        room[e ^ 1] += flow
+                    path, i = [], s
+                    continue
+                while tried[i] < len(near[i]):
+                    e = near[i][tried[i]]
+                    if level[i] < far and room[e] > tiny and level[to[e]] == level[i] + 1:
+                        path.append(e)
+                        i = to[e]
+                        break
+                    tried[i] += 1
+                else:
+                    if not path:
+                        break
+                    i = to[path.pop() ^ 1]
+                    tried[i] += 1
+
+
+def _apart(x: Block, y: Block, around: list[int]) -> int:
+    """Steps up from the one and down to the other in the tree of block elements."""
+    (a, m), (b, n), steps = (x.parent, x.depth), (y.parent, y.depth), 0
+    while a != b:
+        steps += 1
+        if m >= n:
+            a, m = around[a], m - 1
+        else:
+            b, n = around[b], n - 1
+    return steps
 
 
 def main_text(page: str) -> str:
-    found = blocks(page)
+    found, around = blocks(page)
     edges: list[tuple[int, int, float]] = []
     last: dict[int, int] = {}  # last block below an element
     for i, b in enumerate(found):
         if i:
-            other = found[i - 1].parents
-            shared = sum(1 for _ in zip_same(other, b.parents))
-            edges.append((i - 1, i, NEXT * FALL ** max(0, len(other) + len(b.parents) - 2 * shared - 2)))
+            edges.append((i - 1, i, NEXT * FALL ** max(0, _apart(found[i - 1], b, around) - 2)))
         # what stands directly in one parent, or directly below one
-        up = b.parents[-2] if len(b.parents) > 1 else b.parents[-1] if b.parents else 0
+        up = around[b.parent] if b.depth > 1 else b.parent
         if up in last:
             edges.append((last[up], i, SIBLING))
         last[up] = i
@@ -258,13 +296,6 @@ def main_text(page: str) -> str:
     return "\n".join(b.text for b, k in zip(found, keep, strict=True) if k)
 
 
-def zip_same(a: tuple[int, ...], b: tuple[int, ...]) -> Iterator[int]:
-    for x, y in zip(a, b, strict=False):
-        if x != y:
-            return
-        yield x
-
-
 def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text) of every row."""
     small_batches(pages.sparkSession)

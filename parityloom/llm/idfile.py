@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import shared_folder, shuffle_width, small_batches
 from .encoding import encoder
 
-#: The dictionary is trained on so many documents, those with the smallest
+#: The dictionary is trained on at most so many documents, those with the smallest
 #: hashes of id and text that are no longer than SAMPLE_CHARS. All documents are
 #: compressed with it.
 SAMPLE_DOCS, SAMPLE_CHARS = 800, 20_000
@@ -47,7 +47,11 @@ def train(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id",
     """A dictionary from a bounded sample; empty if there is too little to learn from."""
     import zstandard
 
-    sample = _texts(docs, id_col, text_col).where(F.length("text") <= SAMPLE_CHARS).orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(SAMPLE_DOCS)
+    drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40))
+    texts = _texts(docs, id_col, text_col).where(F.length("text") <= SAMPLE_CHARS).withColumn("drawn", drawn)
+    # twice the rows that are needed lie below this on average, so that few texts travel however many there are
+    below = int((1 << 40) * min(1.0, 2 * SAMPLE_DOCS / max(1, texts.count())))
+    sample = texts.where(F.col("drawn") < below).orderBy("drawn", "doc_id").limit(SAMPLE_DOCS)
     end = np.array([end_id], "<u4").tobytes()
     arrays = [x + end for x in encoder(tokenizer, literal).encode([r["text"] for r in sample.collect()])]
     try:
@@ -144,7 +148,7 @@ def read(spark: SparkSession, path: str, doc_ids: list[int] | None = None) -> Da
         base += n
     few = spark.createDataFrame(bases, "shard long, base long")
     hit = segments if wanted is None else segments.where(F.arrays_overlap("doc_ids", F.array(*[F.lit(int(x)) for x in sorted(wanted)]).cast("array<bigint>")))
-    # a segment of short documents grows when decompressed: one at a time
+    # a segment of short documents grows when decompressed; each becomes a batch of its own
     small_batches(spark)
     found = hit.select([c.split()[0] for c in SEGMENTS.split(", ")]).mapInArrow(decode, DECODED)
     return found.join(F.broadcast(few), "shard").select("doc_id", (F.col("base") + F.col("first")).alias("start"), "n_tokens", "ids")

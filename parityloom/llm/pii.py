@@ -6,9 +6,11 @@ token of LEAST_LENGTH characters with a digit or an at sign that stands in such
 identifier. Patterns and instances (normalised tokens) make a bipartite graph.
 Rounds over it set a pattern's confidence to the mean score of its instances,
 damped by DAMP for thin support, and an unseen instance's score to the complement
-of the product of its patterns' doubts; a seed's score stays 1. An occurrence
-becomes a span of kind `learned` if a pattern it stands in has at least
-LEAST_CONFIDENCE and at least LEAST_SEEDS different seeds. Spans added never
+of the product of its patterns' doubts; a seed's score stays 1. A pattern is
+confident from LEAST_CONFIDENCE on if at least LEAST_SEEDS of its instances are seeds or
+stand in a pattern that was confident the round before, so that what is discovered
+discovers more. Rounds end when no pattern becomes confident, or after ROUNDS of them. An occurrence
+becomes a span of kind `learned` if it stands in a confident pattern. Spans added never
 overlap base spans.
 
 The graph holds each (pattern, instance) once, so copies of a text add nothing,
@@ -24,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, saved
+from .common import forget, let, saved
 
 # One pattern a kind. A match starts where the one before it ended or
 # where its run starts, so no run of characters is tried from each of its places.
@@ -37,7 +39,7 @@ PATTERNS = {
 #: What a text must have for a kind to be looked for.
 HINTS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 KINDS = list(PATTERNS)
-ROUNDS, DAMP, LEAST_CONFIDENCE, LEAST_SEEDS, LEAST_LENGTH = 3, 2.0, 0.6, 3, 6
+ROUNDS, DAMP, LEAST_CONFIDENCE, LEAST_SEEDS, LEAST_LENGTH = 8, 2.0, 0.6, 3, 6
 _TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 _EDGES = "\"'`()[]{}<>.,;:!?"
 
@@ -125,21 +127,32 @@ def occurrences(spans: DataFrame) -> DataFrame:
     bare = F.ltrim(F.col("t.m"), F.lit(_EDGES))
     s = F.col("t.s") + F.length("t.m") - F.length(bare)
     core = F.rtrim(bare, F.lit(_EDGES))
-    patterns = F.array(F.concat(F.lit("L "), "t.left"), F.concat(F.lit("R "), "t.right"), F.concat_ws(" ", F.lit("B"), "t.left", "t.right"))
-    named = (F.col("t.left") != "") | (F.col("t.right") != "")
+    left, right = F.col("t.left") != "", F.col("t.right") != ""
+    # a pattern holds a word: the edge of a text is none
+    patterns = F.array_compact(F.array(F.when(left, F.concat(F.lit("L "), "t.left")), F.when(right, F.concat(F.lit("R "), "t.right")), F.when(left & right, F.concat_ws(" ", F.lit("B"), "t.left", "t.right"))))
+    named = left | right
     return rows.where(named).select("doc_id", "key", s.alias("s"), (s + F.length(core)).alias("e"), F.xxhash64(F.lower(core)).alias("instance"), F.transform(patterns, lambda p: F.xxhash64(p)).alias("patterns"), inside.alias("seed")).where((F.col("e") - F.col("s") >= LEAST_LENGTH) | F.col("seed"))
 
 
 def confident_patterns(graph: DataFrame) -> DataFrame:
-    """Patterns worth using, from edges (pattern, instance, seed), after ROUNDS rounds."""
-    scores = graph.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("score"))
-    for i in range(ROUNDS):
-        mean = graph.join(scores, "instance").groupBy("pattern").agg((F.sum("score") / (F.count("*") + DAMP)).alias("confidence"), F.sum(F.col("seed").cast("long")).alias("seeds"))
-        if i == ROUNDS - 1:
-            return mean.where((F.col("confidence") >= LEAST_CONFIDENCE) & (F.col("seeds") >= LEAST_SEEDS)).select("pattern")
+    """(pattern) of the confident ones, from edges (pattern, instance, seed)."""
+    # saved tables: each join then has two exchanges of its own, whose hot keys Spark can split
+    scores = saved(graph.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("score"), F.max("seed").alias("known")), "scores")
+    before = -1
+    for _ in range(ROUNDS):
+        mean = graph.join(scores, "instance").groupBy("pattern").agg((F.sum("score") / (F.count("*") + DAMP)).alias("confidence"), F.sum(F.col("known").cast("long")).alias("support"))
+        patterns = saved(mean.withColumn("good", (F.col("confidence") >= LEAST_CONFIDENCE) & (F.col("support") >= LEAST_SEEDS)), "patterns")
+        good = patterns.where("good").select("pattern")
+        now = good.count()
+        if now == before:
+            break
+        before = now
         doubt = F.sum(F.log1p(-F.least(F.col("confidence"), F.lit(0.999))))
-        scores = graph.join(mean, "pattern").groupBy("instance").agg(F.when(F.max("seed"), F.lit(1.0)).otherwise(1 - F.exp(doubt)).alias("score"))
-    return graph.select("pattern").limit(0)
+        score = F.when(F.max("seed"), F.lit(1.0)).otherwise(1 - F.exp(doubt))
+        forget(scores)
+        scores = saved(graph.join(patterns, "pattern").groupBy("instance").agg(score.alias("score"), (F.max("seed") | F.max("good")).alias("known")), "scores")
+    forget(scores)
+    return good
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

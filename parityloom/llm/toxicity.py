@@ -6,7 +6,7 @@ significant share one small negative score, so an ordinary passage scores below
 zero. One linear scan of a document finds every maximal-scoring segment. A
 segment's chance of arising in ordinary text follows the extreme-value law of
 local scores: with lambda from sum p exp(lambda s) = 1, a document of n words has
-K n exp(-lambda S) such segments expected. The scores of significant segments are
+K n exp(-lambda S) such segments expected; K is fitted to the best segments of the ordinary training rows. The scores of significant segments are
 added, and a logistic curve, fitted on the training rows, maps the sum to 0..1.
 
 The model is fitted on at most SAMPLE_ROWS labelled rows of each label, those
@@ -37,7 +37,7 @@ from .common import saved, small_batches
 SAMPLE_ROWS, SAMPLE_CHARS = 3_000, 20_000
 #: Words the prior is worth, its least part of a word, least significance and log-odds of a word, largest part of a
 #: toxic passage's words that are ordinary, and p-value of a significant segment.
-PRIOR, LEAST_PRIOR, LEAST_Z, LEAST_ODDS, ORDINARY, P_VALUE = 20.0, 0.5, 3.5, 1.5, 0.9, 0.05
+PRIOR, LEAST_PRIOR, LEAST_Z, LEAST_ODDS, ORDINARY, P_VALUE = 20.0, 0.5, 3.5, 1.5, 0.9, 0.002
 #: Lengths of the word starts that are tokens besides the words.
 STARTS = (4, 5, 6, 7)
 _WORD = re.compile(r"[^\W\d_]+")
@@ -65,15 +65,18 @@ class Model:
     def __post_init__(self) -> None:
         self.gate = {f[:3] for f in self.scores}
 
-    def segments(self, tokens: list[str]) -> list[tuple[int, int, float]]:
-        """Significant maximal-scoring segments as (first word, end word, score)."""
+    def all_segments(self, tokens: list[str]) -> list[tuple[int, int, float]]:
+        """All maximal-scoring segments as (first word, end word, score)."""
         get, gate = self.scores.get, self.gate
         some = [(i, w) for i, w in enumerate(tokens) if w[:3] in gate]
         hits = [(i, s) for i, w in some if (s := max((get(f, 0.0) for f in features(w)), default=0.0)) > 0]
-        if not hits:
-            return []
-        least = math.log(self.scale * len(tokens) / -math.log1p(-P_VALUE)) / self.rate
-        return [x for x in maximal_segments(hits, self.ordinary) if x[2] >= least]
+        return maximal_segments(hits, self.ordinary) if hits else []
+
+    def segments(self, tokens: list[str]) -> list[tuple[int, int, float]]:
+        """The significant ones of them."""
+        found = self.all_segments(tokens)
+        least = math.log(self.scale * len(tokens) / -math.log1p(-P_VALUE)) / self.rate if found else 0.0
+        return [x for x in found if x[2] >= least]
 
     def evidence(self, found: list[tuple[int, int, float]], n_words: int) -> float:
         """Sum of the significant segments' scores in units of the law, less the search for them."""
@@ -88,9 +91,11 @@ def maximal_segments(hits: list[tuple[int, float]], ordinary: float) -> list[tup
 
     The scan keeps candidate segments with the cumulative score before and at the
     end of each. A new one joins the nearest earlier one that starts lower, if
-    that one also ends lower; negative places never start or end a segment.
+    that one also ends lower; negative places never start or end a segment. Each
+    remembers the nearest earlier one that starts lower, so that those between are
+    never looked at again and the scan is linear.
     """
-    kept: list[list] = []  # [start, end, score before, score at the end]
+    kept: list[list] = []  # [start, end, score before, score at the end, place of the nearest lower start]
     total, last = 0.0, 0
     for at, score in hits:
         total += (at - last) * ordinary
@@ -98,21 +103,21 @@ def maximal_segments(hits: list[tuple[int, float]], ordinary: float) -> list[tup
         before, total = total, total + score
         if score <= 0:
             continue
-        new = [at, at + 1, before, total]
+        begin, j = at, len(kept) - 1
         while True:
-            j = len(kept) - 1
-            while j >= 0 and kept[j][2] >= new[2]:
-                j -= 1
-            if j < 0 or kept[j][3] >= new[3]:
-                kept.append(new)
+            while j >= 0 and kept[j][2] >= before:
+                j = kept[j][4]
+            if j < 0 or kept[j][3] >= total:
+                kept.append([begin, at + 1, before, total, j])
                 break
-            new = [kept[j][0], new[1], kept[j][2], new[3]]
+            begin, before, lower = kept[j][0], kept[j][2], kept[j][4]
             del kept[j:]
-    return [(a, b, end - start) for a, b, start, end in kept]
+            j = lower
+    return [(a, b, end - start) for a, b, start, end, _ in kept]
 
 
-def _law(scores: np.ndarray, p: np.ndarray) -> tuple[float, float]:
-    """lambda and a safe K (1) of the local scores under the ordinary word rates p."""
+def _law(scores: np.ndarray, p: np.ndarray) -> float:
+    """lambda of the local scores under the ordinary word rates p."""
     low, high = 1e-6, 1.0
     f = lambda x: float(np.sum(p * np.exp(x * scores)) - 1.0)
     while f(high) < 0 and high < 64:
@@ -120,7 +125,17 @@ def _law(scores: np.ndarray, p: np.ndarray) -> tuple[float, float]:
     for _ in range(80):
         mid = (low + high) / 2
         low, high = (mid, high) if f(mid) < 0 else (low, mid)
-    return high, 1.0
+    return high
+
+
+def _scale(best: list[tuple[int, float]], rate: float) -> float:
+    """The likeliest K for (number of words, best score) of ordinary texts; 0 is the best score where nothing scores.
+
+    The best score of n words is at most S with probability exp(-K n exp(-lambda S)), so n exp(-lambda S) of the best
+    score is exponential with rate K.
+    """
+    expected = [n * math.exp(-rate * s) for n, s in best if n]
+    return len(expected) / sum(expected) if expected else 1.0
 
 
 def best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
@@ -184,7 +199,9 @@ def fit(rows: list[tuple[str, int]]) -> Model:
     model = Model(scores, math.log(ORDINARY), 1.0, 1.0)
     if scores:
         s, p = np.array(list(scores.values())), np.array([rates[w] for w in scores])
-        model.rate, model.scale = _law(np.append(s, model.ordinary), np.append(p, 1 - p.sum()))
+        model.rate = _law(np.append(s, model.ordinary), np.append(p, 1 - p.sum()))
+        tokens = [words(text) for text, y in rows if not y]
+        model.scale = _scale([(len(t), max((v for *_, v in model.all_segments(t)), default=0.0)) for t in tokens], model.rate)
         x = np.array([model.evidence(model.segments(t := words(text)), len(t)) for text, _ in rows])
         y = np.array([y for _, y in rows])
         if len(set(x.tolist())) > 1:
