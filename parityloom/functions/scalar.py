@@ -88,25 +88,37 @@ def trait_summary(traits: Mapping[str, Column], high: int = 70, low: int = 30) -
 
 
 def ladder(value: Column, steps: Sequence[tuple[float, str]], otherwise: str) -> Column:
-    """The name of the first step whose bound value reaches."""
+    """The name of the first step whose bound value is above."""
     out = F.lit(otherwise)
     for bound, name in reversed(steps):
-        out = F.when(value >= bound, F.lit(name)).otherwise(out)
+        out = F.when(value > bound, F.lit(name)).otherwise(out)
     return out
 
 
+# Names by how far a sum of scores is above, and chances of dissent.
+RISK = [(20, "high"), (0, "moderate"), (-20, "low")]
+SOCIAL = [(70, "gregarious"), (50, "outgoing"), (30, "selective")]
+NOVELTY = [(80, "explorer"), (40, "curious"), (0, "balanced")]
+DISSENT_BASE, DISSENT_DISAGREEABLE, DISSENT_OUTGOING, DISSENT_LEAST, DISSENT_MOST = 0.05, 0.35, 0.10, 0.02, 0.60
+
+
 def behaviour(t: Mapping[str, Column]) -> Column:
-    """What five trait scores say of decisions, conflict, novelty and dissent."""
-    dissent = F.least(F.lit(0.95), F.greatest(F.lit(0.05), 0.5 + (50 - t["agreeableness"]) / 200 + (t["openness"] - 50) / 400))
+    """What five trait scores say of risk, decisions, conflict, company, novelty, dissent, complaints and plans."""
+    o, c, e, a, n = (t[k] for k in TRAITS)
+    decision = F.when((c > 65) & (o < 45), "deliberative").when((o > 65) & (c < 50), "intuitive").when((c > 65) & (o > 65), "balanced").when(e > 65, "consultative").otherwise("pragmatic")
+    conflict = F.when((a > 65) & (n < 45), "accommodating").when((a < 40) & (e > 60), "competing").when((o > 60) & (a > 50), "collaborating").when(n > 60, "avoiding").otherwise("compromising")
+    complaint = F.when((n > 65) & (a < 45), "high").when((n > 55) | (a < 40), "moderate").when(a > 65, "low").otherwise("rare")
+    planning = F.when(c > 70, "long_term").when(c > 55, "medium_term").when(o > 70, "visionary").otherwise("short_term")
+    dissent = DISSENT_BASE + DISSENT_DISAGREEABLE * (1 - a / 100) + DISSENT_OUTGOING * e / 100
     return F.struct(
-        ladder(t["openness"] - t["neuroticism"], [(20, "seeking"), (-20, "balanced")], "averse").alias("risk"),
-        ladder(t["conscientiousness"], [(65, "analytical"), (35, "balanced")], "intuitive").alias("decision"),
-        ladder(t["agreeableness"], [(65, "accommodating"), (35, "compromising")], "competing").alias("conflict"),
-        ladder(t["extraversion"], [(65, "outgoing"), (35, "moderate")], "reserved").alias("social"),
-        ladder(t["openness"], [(65, "novel"), (35, "mixed")], "familiar").alias("novelty"),
-        ladder(t["neuroticism"], [(65, "frequent"), (35, "occasional")], "rare").alias("complaint"),
-        ladder(t["conscientiousness"], [(65, "detailed"), (35, "loose")], "none").alias("planning"),
-        dissent.alias("dissent"),
+        ladder(o - n, RISK, "very_low").alias("risk_tolerance"),
+        decision.alias("decision_style"),
+        conflict.alias("conflict_style"),
+        ladder(e, SOCIAL, "reserved").alias("social_pattern"),
+        ladder(o + e - c, NOVELTY, "traditional").alias("novelty_seeking"),
+        F.least(F.lit(DISSENT_MOST), F.greatest(F.lit(DISSENT_LEAST), dissent)).alias("will_say_no_probability"),
+        complaint.alias("complaint_likelihood"),
+        planning.alias("planning_horizon"),
     )
 
 
@@ -134,13 +146,13 @@ def least_age(education: Column, ages: Mapping[str, int] = LEAST_AGES) -> Column
 
 
 def age_days(ts: Column, now: Column) -> Column:
-    """Whole days of 24 hours from ts to now; 0 where ts cannot be read."""
-    return F.coalesce(F.floor((F.unix_timestamp(now) - F.unix_timestamp(ts)) / 86400), F.lit(0)).cast("int")
+    """Whole days of 24 hours from ts to now; null, an age without bound, where ts is missing."""
+    return F.floor((F.unix_timestamp(now) - F.unix_timestamp(ts)) / 86400).cast("int")
 
 
 def freshness(days: Column) -> Column:
-    """critical over 60 days, stale over 30, aging over 7, else fresh; unknown without a time."""
-    return F.when(days.isNull(), "unknown").when(days > 60, "critical").when(days > 30, "stale").when(days > 7, "aging").otherwise("fresh")
+    """critical over 60 days, stale over 30 or without a time, aging over 7, else fresh."""
+    return F.when(days.isNull(), "stale").when(days > 60, "critical").when(days > 30, "stale").when(days > 7, "aging").otherwise("fresh")
 
 
 # Days after which a profile is told.
@@ -148,4 +160,5 @@ ALERT_DAYS = {"ANALYSIS_ONLY": 60, "NARRATIVE_REQUIRED": 30, "HIGH_STAKES": 7}
 
 
 def stale_for(days: Column, profile: str) -> Column:
-    return days > ALERT_DAYS[profile]
+    """Whether the age passes what the profile allows; a missing time does."""
+    return F.coalesce(days > ALERT_DAYS[profile], F.lit(True))

@@ -38,7 +38,20 @@ TRAIT_WORDS = {
     "agreeableness": (["amabil", "cooperant", "empatic", "înțelegător", "generos", "ajută", "armonios", "diplomatic"], ["competitiv", "direct", "critic", "sceptic", "dur", "confruntațional"]),
     "neuroticism": (["anxios", "stresat", "îngrijorat", "emoțional", "sensibil", "nervos", "fricos", "temător"], ["calm", "stabil", "relaxat", "încrezător", "rezilient", "echilibrat", "liniștit"]),
 }
-LEAKING_WORDS = "deschis deschisa deschisă conștiincios conștiincioasă constiincios extrovertit extrovertită extravert agreabil agreabilă nevrotic nevrotică trăsătură trăsături personalitate tipar ocean oceam scor t_score t-score tscore procentil percentil neurotic neurotica neurotică conscientios constiincioasa".split() + ["big five"]
+LEAKING_WORDS = [
+    "deschis", "deschisa", "deschisă",
+    "conștiincios", "conștiincioasă", "constiincios",
+    "extrovertit", "extrovertită", "extravert",
+    "agreabil", "agreabilă",
+    "nevrotic", "nevrotică",
+    "trăsătură", "trăsături",
+    "personalitate", "tipar",
+    "big five", "ocean", "oceam",
+    "scor", "t_score", "t-score", "tscore",
+    "procentil", "percentil",
+    "neurotic", "neurotica", "neurotică",
+    "conscientios", "constiincioasa",
+]
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -127,8 +140,9 @@ def normalise(text: Column) -> Column:
 
 
 def normalise_place(text: Column) -> Column:
-    """normalise(), with the word for municipality shortened."""
-    return F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(fold_marks(text), "municipiul", "mun"), "[.,]", ""), r"\s+", " "))
+    """Without marks, points and commas, white space squeezed, and the word for municipality shortened, also before a name."""
+    short = F.regexp_replace(F.trim(fold_marks(text)), r"\b(?:municipiul|municipiu)\b", "mun")
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(short, r"\bmun\.\s*", "mun "), "[.,]", ""), r"\s+", " ")
 
 
 @F.pandas_udf(StringType())
@@ -137,8 +151,12 @@ def nfkd(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else "".join(c for c in unicodedata.normalize("NFKD", t.lower()) if not unicodedata.combining(c)))
 
 
-def is_total(text: Column, labels: Sequence[str] = ("total", "ambele", "both", "toate")) -> Column:
-    return let(normalise(text), lambda norm: F.exists(F.array(*map(F.lit, labels)), lambda p: F.contains(norm, p)))
+# What stands in the label of a total.
+TOTAL_LABELS = ["total", "total pe tara", "total general", "total population", "populatia totala", "populatia total", "whole country", "country"]
+
+
+def is_total(text: Column, labels: Sequence[str] = tuple(TOTAL_LABELS)) -> Column:
+    return let(normalise_place(text), lambda norm: F.exists(F.array(*map(F.lit, labels)), lambda p: F.contains(norm, p)))
 
 
 def clean_path(path: Column) -> Column:
@@ -230,17 +248,27 @@ def anchor_hits(text: Column, anchors: Column) -> Column:
     return let(lower(text), lambda low: F.size(F.filter(F.coalesce(anchors, F.array().cast("array<string>")), lambda a: F.contains(low, F.lower(a)))))
 
 
+# Words that tell the language, and words that follow a name in that of an institution.
+COMMON_WORDS = ["sunt", "și", "pentru", "din", "cu", "care", "mai", "să", "mă", "te", "se", "în", "la", "pe", "o", "un"]
+INSTITUTIONS = ["SRL", "SA", "Institut", "Spital", "Școală", "Liceul", "Universitate"]
+
+
+def institution_names(text: Column) -> Column:
+    """How often a capitalised word stands before the word for an institution."""
+    return count_matches(text, r"(?<![\p{L}\p{N}_])[A-Z][a-z]+\s+(?:" + "|".join(INSTITUTIONS) + r")(?![\p{L}\p{N}_])")
+
+
 def narrative_checks(text: Column, name: Column, least: int = 50, most: int = 4000) -> Column:
-    """Struct of booleans: length band, at least three marked letters, name mentioned, Romanian, personal data."""
+    """Struct of booleans: length band, at least three marked letters, name mentioned, Romanian, institutions named."""
     raw = F.coalesce(text, F.lit(""))
     marks = count_matches(lower(text), "[ăâîșț]")
-    stop = count_matches(lower(text), r"\b(și|este|în|la|cu|de|pe|care)\b")
+    stop = count_matches(lower(text), r"(?<![\p{L}\p{N}_])(?:" + "|".join(COMMON_WORDS) + r")(?![\p{L}\p{N}_])")
     return F.struct(
         F.length(raw).between(least, most).alias("length_ok"),
         (marks >= 3).alias("marks_ok"),
         F.contains(lower(text), lower(F.split_part(F.coalesce(name, F.lit("")), F.lit(" "), F.lit(1)))).alias("name_ok"),
         ((marks >= 2) | (stop >= 3)).alias("romanian"),
-        (count_matches(raw, r"[\w.+-]+@[\w-]+\.\w+|\+?\d[\d -]{7,}\d") > 0).alias("personal_data"),
+        (institution_names(raw) > 0).alias("personal_data"),
     )
 
 

@@ -6,7 +6,7 @@ So a result never depends on partitions, retries or order.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,24 +21,25 @@ def hash01(seed: int, row_id: Column, step: str = "") -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
 
 
+def fast01(seed: int, row_id: Column, step: str = "") -> Column:
+    """Uniform in [0, 1): the upper 53 bits of a 64-bit hash of seed, step and id; for records with many draws."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit(step), row_id), 11) / F.lit(float(1 << 53))
+
+
 def pick(cdf: Column, u: Column) -> Column:
     """The category of the first step of a cdf above u; the last one if rounding leaves none."""
     hit = F.get(F.filter(cdf, lambda c: c["cum"] > u), F.lit(0))["category"]
     return F.coalesce(hit, F.element_at(cdf, -1)["category"])
 
 
-def literal_cdf(shares: Mapping[str, float]) -> Column:
-    """A cdf column from a small table, in order of its keys."""
-    total, cum, steps = sum(shares.values()), 0.0, []
-    for k in sorted(shares):
-        cum += shares[k] / total
-        steps.append(F.struct(F.lit(cum).alias("cum"), F.lit(k).alias("category")))
-    return F.array(*steps)
-
-
 def draw(shares: Mapping[str, float], u: Column) -> Column:
-    """A category with probability in proportion to its weight."""
-    return pick(literal_cdf(shares), u)
+    """A category with probability in proportion to its weight: the first, in order of the keys, whose cumulated share is above u."""
+    total, cum, keys = sum(shares.values()), 0.0, sorted(shares)
+    out = None
+    for k in keys[:-1]:
+        cum += shares[k] / total
+        out = F.when(u < cum, F.lit(k)) if out is None else out.when(u < cum, F.lit(k))
+    return F.lit(keys[-1]) if out is None else out.otherwise(F.lit(keys[-1]))
 
 
 def draw_given(df: DataFrame, given: str, table: DataFrame, u: Column, name: str, national: DataFrame | None = None) -> DataFrame:
@@ -61,9 +62,9 @@ def subset(items: Sequence[str], k: int, seed: int, row_id: Column) -> Column:
     return F.transform(F.slice(F.array_sort(keyed), 1, k), lambda s: s["x"])
 
 
-def gaussian(mean: float, std: float, seed: int, row_id: Column, step: str) -> Column:
+def gaussian(mean: float, std: float, seed: int, row_id: Column, step: str, uniform: Callable[[int, Column, str], Column] = hash01) -> Column:
     """Box and Muller's transform of two hashes."""
-    a, b = hash01(seed, row_id, step + "a"), hash01(seed, row_id, step + "b")
+    a, b = uniform(seed, row_id, step + "a"), uniform(seed, row_id, step + "b")
     return mean + std * F.sqrt(-2 * F.log(1 - a)) * F.cos(2 * math.pi * b)
 
 

@@ -130,12 +130,17 @@ def decide(m: Metrics, profile: str = "HIGH_STAKES", strict: bool = False) -> De
     return Decision(verdict, sort_codes(codes) or ["PASS"], [r for _, r, _ in found], structured, narrative, overall_tier(profile, structured, narrative), confidence)
 
 
-def payload(d: Decision, base: float = 0.95) -> dict:
-    """What another system is told; confidence never grows with more codes or a worse verdict."""
-    top = {"PASS": 1.0, "PASS_WITH_WARNINGS": 0.8, "REJECT": 0.3}[d.verdict]
-    soft = sum(is_warning(c) for c in d.codes)
-    hard = sum(is_hard(c) for c in d.codes)
-    return {"decision": d.verdict, "gate_codes": d.codes, "quality_tier": d.overall_tier, "confidence": round(max(0.0, min(top, base - 0.05 * soft - 0.2 * hard)), 4)}
+def capped_confidence(d: Decision, profile: str, targets_source: str) -> str:
+    """The confidence others may rely on: low if rejected; medium at most where high stakes rest on fallback targets."""
+    if d.verdict == "REJECT":
+        return "low"
+    return "medium" if profile == "HIGH_STAKES" and targets_source == "hardcoded_fallback" else d.confidence
+
+
+def payload(d: Decision, profile: str = "ANALYSIS_ONLY", targets_source: str = "") -> dict:
+    """What another system is told."""
+    confidence = capped_confidence(d, profile, targets_source)
+    return {"decision": d.verdict, "gate_codes": d.codes, "quality_tier": d.overall_tier, "confidence": confidence, "base_confidence": d.confidence, "monotonicity_applied": confidence != d.confidence}
 
 
 def can_publish(found: Sequence[Mapping]) -> bool:

@@ -1,6 +1,6 @@
 """A population of records, drawn column by column from target distributions.
 
-Every draw is a function of (seed, id, step). Tables are parameters: marginals,
+Every draw is a function of (seed, id, step), a 64-bit hash. Tables are parameters: marginals,
 and conditionals where the caller has them; without one a field follows its
 marginal, which is what fitting from an even seed gives.
 """
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar
 from ..operators.raking import Raked, rake
-from ..operators.sampling import draw, draw_given, gaussian, hash01, resample, uniform_item
+from ..operators.sampling import draw, draw_given, fast01, gaussian, resample, uniform_item
 
 # Census shares, and lists that occupations and fields are drawn from.
 MARGINALS = {
@@ -70,7 +70,7 @@ def population(ids: DataFrame, seed: int = 42, marginals: Mapping[str, Mapping[s
     age is triangular.
     """
     i = F.col("id")
-    u = lambda step: hash01(seed, i, step)
+    u = lambda step: fast01(seed, i, step)
     given = dict(conditionals or {})
     adult = {k: v for k, v in marginals["age_group"].items() if k in AGES}
     out = ids.select("id")
@@ -99,7 +99,7 @@ def population(ids: DataFrame, seed: int = 42, marginals: Mapping[str, Mapping[s
     job = F.col("job_.occupation")
     status = F.when(job == "Student", "Student").when(job.startswith("Pensionar"), "Pensionar").otherwise(draw(dict(zip(WORKING, (0.8, 0.05, 0.05, 0.1), strict=True)), u("status")))
     first = F.when(F.col("sex") == "Feminin", uniform_item(FIRST["Feminin"], u("name"))).otherwise(uniform_item(FIRST["Masculin"], u("name")))
-    base = {t: scalar.clamp(gaussian(50, 15, seed, i, t)).cast("int") for t in scalar.TRAITS}
+    base = {t: scalar.clamp(gaussian(50, 15, seed, i, t, fast01)).cast("int") for t in scalar.TRAITS}
     traits = scalar.adjusted_traits(base, F.col("age"), F.col("sex"), F.col("education_level"), job)
     return out.select(
         F.concat_ws("-", F.lit(str(seed)), i.cast("string")).alias("uuid"), "id",

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 from ..functions.nested import list_to_json, list_to_text
+from ..operators.common import saved
 
 
 def flat(df: DataFrame, as_json: bool = True) -> DataFrame:
@@ -58,15 +59,23 @@ def write(df: DataFrame, path: str, fmt: str, drop: Sequence[str] = (), partitio
 
 
 def write_all(df: DataFrame, folder: str, name: str, formats: Sequence[str], **options) -> dict[str, str]:
-    """The same rows in several formats: {format: path}. The rows are computed once, then read back."""
+    """The same rows in several formats: {format: path}. The rows are computed and saved once."""
+    df = saved(df, "rows")
     first = write(df, f"{folder}/{name}.{formats[0]}", formats[0], **options)
     return {formats[0]: first} | {f: write(df, f"{folder}/{name}.{f}", f, **options) for f in formats[1:]}
 
 
-# Fields that may be published, those of the wider form, internal ones, and names to change.
-PUBLIC = "uuid name sex age ethnicity mother_tongue religion marital_status education_level field_of_study occupation city district region residence_type country descriere_generala profil_profesional hobby_sport hobby_arta_cultura hobby_calatorii".split()
-EXTRA = "hobby_culinar cultural_background skills_and_expertise hobbies_and_interests career_goals_and_ambitions persona_summary age_group employment_status occupation_sector".split()
-INTERNAL = "field_provenance narrative_status ocean_source ocean_deviation_score rewrite_count behavioral_contract weight".split()
+# Fields that may be published, internal ones, those of the wider form, and names to change.
+PUBLIC = [
+    "uuid", "persona", "professional_persona", "sports_persona", "arts_persona", "travel_persona", "culinary_persona",
+    "cultural_background", "skills_and_expertise", "skills_and_expertise_list", "hobbies_and_interests", "hobbies_and_interests_list",
+    "career_goals_and_ambitions", "sex", "age", "marital_status", "education_level", "occupation", "municipality", "state", "country",
+]
+INTERNAL = [
+    "ocean_scores", "ocean_raw_scores", "behavioral_cues", "constraints", "validation", "passed_validation", "rewrite_count",
+    "ocean_deviation_score", "repair_history", "prompt_hash", "trace_id", "generation_metadata",
+]
+EXTRA = ["locality", "ethnicity", "religion", "residence_type", "age_group", "ocean_profile"]
 RENAMED = {"district": "municipality", "region": "state", "city": "locality"}
 TRAIT_FIELDS = [f"ocean_{t}" for t in ("openness", "conscientiousness", "extraversion", "agreeableness", "neuroticism")]
 
@@ -83,9 +92,10 @@ def _traits(df: DataFrame) -> list[Column]:
 
 
 def public(df: DataFrame, source: Mapping[str, str], wide: bool = False) -> DataFrame:
-    """The fields that may be published, a trait struct if all traits are there, and where it comes from."""
-    names = [c for c in PUBLIC + (EXTRA if wide else []) if c in df.columns and c not in INTERNAL]
-    return df.select(*names, *_traits(df), F.struct(*[F.lit(v).alias(k) for k, v in source.items()]).alias("_source"))
+    """The fields that may be published, in the wide form with a trait struct if all traits are there, and where it comes from."""
+    df = df.withColumnsRenamed({a: b for a, b in RENAMED.items() if b not in df.columns})
+    names = [c for c in PUBLIC + (EXTRA if wide else []) if c in df.columns and c not in INTERNAL and c != "ocean_profile"]
+    return df.select(*names, *(_traits(df) if wide else []), F.struct(*[F.lit(v).alias(k) for k, v in source.items()]).alias("_source"))
 
 
 def internal(df: DataFrame, metadata: Mapping[str, str]) -> DataFrame:
@@ -136,7 +146,7 @@ def load_manifest(path: str) -> dict:
 
 def metrics_text(metrics: DataFrame) -> DataFrame:
     """(line) of metrics (name, value, tags map) in the exposition format of a metrics scraper."""
-    tags = F.array_join(F.transform(F.array_sort(F.map_entries("tags")), lambda e: F.concat(e["key"], F.lit('="'), e["value"], F.lit('"'))), ",")
+    tags = F.array_join(F.transform(F.array_sort(F.map_entries("tags")), lambda e: F.concat(e["key"], F.lit('="'), F.replace(F.replace(F.replace(e["value"], F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit("\n"), F.lit("\\n")), F.lit('"'))), ",")
     labels = F.when(F.size("tags") > 0, F.concat(F.lit("{"), tags, F.lit("}"))).otherwise("")
     return metrics.select(F.concat(F.regexp_replace("name", "[^a-zA-Z0-9_:]", "_"), labels, F.lit(" "), F.col("value").cast("string")).alias("line"))
 

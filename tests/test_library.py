@@ -154,7 +154,9 @@ def test_gates():
     assert bad.verdict == "REJECT" and "ESS_TOO_LOW" in bad.codes and bad.codes[0] == "ESS_TOO_LOW"
     warn = gates.Metrics(mean_l1=0.08)
     assert gates.decide(warn, "HIGH_STAKES").verdict == "PASS_WITH_WARNINGS" and gates.decide(warn, "HIGH_STAKES", strict=True).verdict == "REJECT"
-    assert gates.payload(bad)["confidence"] < gates.payload(d)["confidence"]
+    assert gates.payload(bad)["confidence"] == "low" and gates.payload(d)["confidence"] == "high"
+    capped = gates.payload(d, "HIGH_STAKES", "hardcoded_fallback")
+    assert capped["confidence"] == "medium" and capped["monotonicity_applied"]
 
 
 def test_sliced_generation_resumes(spark, tmp_path):
