@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import quoted
 
 # Age bins, education and occupation effects on traits, least ages.
 AGE_EDGES, AGE_LABELS = (15, 25, 35, 45, 55, 65), ("0-14", "15-24", "25-34", "35-44", "45-54", "55-64", "65+")
@@ -53,7 +52,7 @@ def clamp(value: Column, low: float = 0, high: float = 100) -> Column:
 def adjusted_traits(base: Mapping[str, Column], age: Column, sex: Column, education: Column, occupation: Column) -> dict[str, Column]:
     """Base scores moved by age (truncated towards zero), sex, education and occupation, then clamped."""
     out = dict(base)
-    years = age - 30
+    years, low = age - 30, F.lower(F.coalesce(occupation, F.lit("")))
     for trait, slope in (("conscientiousness", 0.5), ("neuroticism", -0.3), ("agreeableness", 0.2)):
         out[trait] = out[trait] + (years * slope).cast("int")
     for trait, more in (("agreeableness", 3), ("neuroticism", 2)):
@@ -62,7 +61,8 @@ def adjusted_traits(base: Mapping[str, Column], age: Column, sex: Column, educat
         effects = F.create_map(*[x for k, v in EDUCATION_EFFECTS.items() for x in (F.lit(k), F.lit(v[i]))])
         out[trait] = out[trait] + F.coalesce(F.try_element_at(effects, education), F.lit(0))
     for words, effects in OCCUPATION_EFFECTS:
-        hit = F.lower(F.coalesce(occupation, F.lit(""))).rlike(quoted(words))
+        # as a function over the words, the projection is compiled in parts: one method for all traits is too long for the JIT
+        hit = F.exists(F.array(*map(F.lit, words)), lambda w: F.contains(low, w))
         for trait, more in effects.items():
             out[trait] = out[trait] + F.when(hit, more).otherwise(0)
     return {t: clamp(c).cast("int") for t, c in out.items()}

@@ -272,6 +272,12 @@ def narrative_checks(text: Column, name: Column, least: int = 50, most: int = 40
     )
 
 
+def kinds_found(text: Column, words: Sequence[str]) -> Column:
+    """How many of the words stand in the text as whole words."""
+    low = lower(text)
+    return sum((low.rlike(r"(?<![\p{L}\p{N}_])\Q" + w + r"\E(?![\p{L}\p{N}_])").cast("int") for w in words), F.lit(0))
+
+
 def prompt(template: str, values: Mapping[str, Column]) -> Column:
     """The template with {key} replaced by columns."""
     out = F.lit(template)

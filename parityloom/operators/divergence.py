@@ -135,3 +135,14 @@ def strata_gaps(observed: DataFrame, target: DataFrame, k: int = 5) -> DataFrame
     """The k categories with the largest errors."""
     pairs = aligned(observed, target)
     return pairs.withColumn("error", F.abs(F.col("p") - F.col("q"))).orderBy(F.desc("error"), "category").limit(k)
+
+
+def collapsed(df: DataFrame, value: str, least_std: float, by: Sequence[str] = ()) -> DataFrame:
+    """n and population deviation of a value, and whether it varies less than it has to."""
+    got = df.groupBy(*by).agg(F.count(value).alias("n"), F.stddev_pop(value).alias("std"))
+    return got.withColumn("collapsed", F.coalesce(F.col("std") < least_std, F.lit(True)))
+
+
+def required(counts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(category, present, n) of the wanted categories; a test of shares fails where one is absent, whatever its p-value."""
+    return wanted.join(counts.select("category", "n"), "category", "left").select("category", F.col("n").isNotNull().alias("present"), F.coalesce("n", F.lit(0)).alias("n"))

@@ -163,3 +163,14 @@ def first_of_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> Dat
     best = F.min_by(F.struct(*others), F.struct(*order)) if others else F.first(F.lit(1))
     got = df.groupBy(*key).agg(best.alias("b_"))
     return got.select(*key, *[F.col(f"b_.{c}").alias(c) for c in others])
+
+
+def marginal(cells: DataFrame, axis: str) -> DataFrame:
+    """(axis, n, share): one side of a two-way table of counts n."""
+    return with_share(cells.groupBy(axis).agg(F.sum("n").alias("n")), [])
+
+
+def oldest(rows: DataFrame, source: str, ts: str) -> DataFrame:
+    """(oldest, source): the earliest of the sources' first times, and the first source that has it."""
+    first = rows.groupBy(source).agg(F.min(ts).alias("oldest"))
+    return first.agg(F.min(F.struct("oldest", source)).alias("b")).select("b.oldest", f"b.{source}")

@@ -73,15 +73,15 @@ def triangular(low: Column, high: Column, mode: Column, u: Column) -> Column:
     return F.when(u < c, low + F.sqrt(u * (high - low) * (mode - low))).otherwise(high - F.sqrt((1 - u) * (high - low) * (high - mode)))
 
 
-def resample(df: DataFrame, row_id: str, weight: str, n: int, u0: float = 0.5, lanes: int = 4096) -> DataFrame:
+def resample(df: DataFrame, row_id: str, weight: str, n: int, u0: float = 0.5) -> DataFrame:
     """Exactly n rows, with replacement, in proportion to a whole-number weight, by systematic steps.
 
     A row covers [before, before + w) of the total W and is taken once for each
-    point (i + u0) W / n in it. Sums before a row are made of sums of lanes (ranges
-    of the id's hash) and running sums within one, so no task holds all rows. The
+    point (i + u0) W / n in it. Sums before a row are made of sums of 4,096 lanes (the
+    first digits of the md5 of the id) and running sums within one, so no task holds all rows. The
     columns draw (1 to n) and source_id are added.
     """
-    lane = F.pmod(F.xxhash64(row_id), F.lit(lanes)).cast("int")
+    lane = F.conv(F.substring(F.md5(F.col(row_id).cast("string").cast("binary")), 1, 3), 16, 10).cast("int")
     rows = df.where(F.col(weight) > 0).withColumn("lane_", lane).withColumn("w_", F.col(weight).cast("decimal(28,0)"))
     sums = rows.groupBy("lane_").agg(F.sum("w_").cast("decimal(38,0)").alias("s_"))
     order = Window.orderBy("lane_").rowsBetween(Window.unboundedPreceding, -1)  # one row a lane

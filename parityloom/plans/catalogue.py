@@ -5,7 +5,6 @@ Doubles are rounded to six places on both sides, and counts cast to long.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -574,12 +573,6 @@ def unicode_fold(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.md5(text.nfkd(F.col("text")).cast("binary")).alias("folded"))
 
 
-@query()
-def section_parser(spark, sf_dir):
-    made = table(spark, sf_dir, "benchmark").select("item_id", F.concat(F.lit("[INTRO] - "), F.col("text"), F.lit(" [BODY] "), F.upper("text")).alias("t"))
-    return made.select("item_id", text.section(F.col("t"), "INTRO", ["INTRO", "BODY"]).alias("intro"), text.section(F.col("t"), "BODY", ["INTRO", "BODY"]).alias("body"))
-
-
 # ---- near duplicates -----------------------------------------------------------------------------
 
 SHINGLES_SQL = f"""w AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents), s AS (SELECT doc_id, list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i+2], ' '))) AS s FROM w WHERE len(w) >= 3),
@@ -631,15 +624,12 @@ def json_strict(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", nested.strict_object(F.col("props"), ["k"]).isNotNull().alias("ok"))
 
 
-@query("SELECT label, i AS pos, round(avg(x), 6) AS mean FROM (SELECT label, unnest(embedding) AS x, unnest(range(0, len(embedding))) AS i FROM embeddings) GROUP BY 1, 2")
+@query("SELECT label, i AS pos, round(avg(x::DOUBLE), 6) AS mean FROM (SELECT label, unnest(embedding) AS x, unnest(range(0, len(embedding))) AS i FROM embeddings) GROUP BY 1, 2")
 def array_ops(spark, sf_dir):
     each = table(spark, sf_dir, "embeddings").select("label", F.posexplode("embedding").alias("pos", "x"))
     return each.groupBy("label", long("pos").alias("pos")).agg(r6(F.avg(F.col("x").cast("double"))).alias("mean"))
 
 
-ORACLE["array_ops"] = "SELECT label, i AS pos, round(avg(x::DOUBLE), 6) AS mean FROM (SELECT label, unnest(embedding) AS x, unnest(range(0, len(embedding))) AS i FROM embeddings) GROUP BY 1, 2"
-
-
 @query("SELECT k AS key, count(*) AS n FROM (SELECT unnest(json_keys(props)) AS k FROM events) GROUP BY 1")
 def explode_map(spark, sf_dir):
     return nested.object_fields(table(spark, sf_dir, "events").select("props"), "props").groupBy("key").agg(long(F.count(F.lit(1))).alias("n"))
@@ -724,16 +714,6 @@ def fallback_draw(spark, sf_dir):
     return got.select("c_custkey", "drawn", "fell_back")
 
 
-@query("SELECT CAST(1000 AS BIGINT) AS n, true AS in_proportion")
-def pps_resample(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select("o_orderkey", F.round(F.col("o_totalprice") * 100).cast("long").alias("w"))
-    drawn = sampling.resample(o, "o_orderkey", "w", 1000)
-    total = o.agg(F.sum("w").alias("t"))
-    per = drawn.groupBy("source_id", "w").agg(F.count(F.lit(1)).alias("c")).crossJoin(F.broadcast(total))
-    fair = F.abs(F.col("c") - F.col("w") / F.col("t") * 1000) < 1
-    return per.agg(long(F.sum("c")).alias("n"), F.every(fair).alias("in_proportion"))
-
-
 @query()
 def population(spark, sf_dir):
     return people.population(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id")))
