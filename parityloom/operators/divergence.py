@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.math import adaptive_tolerance, chi2_p
-from .profile import joint
+from .profile import joint, running
 
 
 def aligned(observed: DataFrame, target: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -103,20 +103,14 @@ def mutual_information(df: DataFrame, a: str, b: str) -> DataFrame:
 def weight_quality(df: DataFrame, weight: str, top: float = 0.05) -> DataFrame:
     """Effective sample size, its ratio, concentration, and the share of the heaviest rows.
 
-    The heaviest rows are found over distinct weights with their counts, so no
-    sort holds all rows.
+    The heaviest rows are found over distinct weights with their counts, dealt out
+    by ranges, so no task holds all rows.
     """
-    from pyspark.sql import Window
-
     levels = df.where(F.col(weight).isNotNull()).groupBy(F.col(weight).cast("double").alias("w")).agg(F.count(F.lit(1)).alias("c"))
     whole = levels.agg(F.sum("c").alias("n"), F.sum(F.col("w") * F.col("c")).alias("sw"), F.sum(F.col("w") * F.col("w") * F.col("c")).alias("sww"), F.max("w").alias("mw"))
-    k = F.greatest(F.lit(1), (F.col("n") * top).cast("long"))
-    # ranges of weights are summed first: only their totals meet in one task
-    ranged = levels.crossJoin(F.broadcast(whole)).withColumn("r", F.floor(-F.log2(F.greatest(F.col("w") / F.col("mw"), F.lit(1e-300))) * 16))
-    before = ranged.groupBy("r").agg(F.sum("c").alias("rc")).withColumn("ahead", F.coalesce(F.sum("rc").over(Window.orderBy("r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    inside = Window.partitionBy("r").orderBy(F.desc("w")).rowsBetween(Window.unboundedPreceding, -1)
-    placed = ranged.join(F.broadcast(before.select("r", "ahead")), "r").withColumn("prior", F.col("ahead") + F.coalesce(F.sum("c").over(inside), F.lit(0)))
-    taken = F.greatest(F.lit(0), F.least(F.col("c"), k - F.col("prior")))
+    placed = running(levels, "c", [], F.desc("w"))
+    k = F.greatest(F.lit(1), (F.col("total") * top).cast("long"))
+    taken = F.greatest(F.lit(0), F.least(F.col("c"), k - (F.col("upto") - F.col("c"))))
     heavy = placed.agg(F.sum(taken * F.col("w")).alias("heavy"))
     got = whole.crossJoin(heavy)
     ess = F.col("sw") * F.col("sw") / F.col("sww")

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import saved
+
 
 def with_share(counts: DataFrame, by: Sequence[str] = (), value: str = "n") -> DataFrame:
     """counts with the share of value in its group, or in all; the totals are aggregated first, so no window holds all rows."""
@@ -64,12 +66,29 @@ def grouping_sets(df: DataFrame, sets: Sequence[Sequence[str]], columns: Sequenc
     return df.groupingSets([[F.col(c) for c in s] for s in sets], *columns).agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("set_id"))
 
 
+def running(counts: DataFrame, amount: str, by: Sequence[str], *order: Column) -> DataFrame:
+    """counts with upto, the sum of amount in order up to each row of its group, and total.
+
+    Rows are dealt out by ranges of (by, order); sums of the ranges before, one a group and range, are
+    added to those within one. So no task holds a group of many rows.
+    """
+    keys = list(by)
+    dealt = counts.repartitionByRange(*[F.col(k).asc() for k in keys], *order)
+    placed = saved(dealt.withColumn("range_", F.spark_partition_id()), "ranges")
+    sums = placed.groupBy(*keys, "range_").agg(F.sum(amount).alias("s_"))
+    of_group = Window.partitionBy(*keys)
+    ahead = sums.withColumn("ahead_", F.coalesce(F.sum("s_").over(of_group.orderBy("range_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("total", F.sum("s_").over(of_group)).drop("s_")
+    inside = F.sum(amount).over(Window.partitionBy(*keys, "range_").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    same = [F.col(f"p.{k}").eqNullSafe(F.col(f"a.{k}")) for k in [*keys, "range_"]]
+    both = placed.withColumn("in_", inside).alias("p").join(ahead.alias("a"), same)
+    return both.select("p.*", (F.col("a.ahead_") + F.col("p.in_")).alias("upto"), "a.total").drop("range_", "in_")
+
+
 def nearest_rank(df: DataFrame, value: str, points: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """sorted[min(int(p n), n - 1)] of each group, without collecting a group: distinct values are counted, then cumulated."""
     keys = list(by)
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("c"))
-    order = Window.partitionBy(*keys).orderBy(value)
-    runs = counts.withColumn("upto", F.sum("c").over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("total", F.sum("c").over(Window.partitionBy(*keys)))
+    runs = running(counts, "c", keys, F.col(value).asc())
     out = []
     for p in points:
         place = F.least((F.lit(p) * F.col("total")).cast("long"), F.col("total") - 1)

@@ -372,9 +372,17 @@ def independence_crosstab(spark, sf_dir):
     return targets.independent(counted(both, "n_regionkey"), counted(both, "c_mktsegment")).select("row", "col", r6("p").alias("p"))
 
 
-@query()
+TRUST_SQL = f"""WITH t AS (SELECT 'o_orderpriority' AS field, category, q::DOUBLE AS q FROM {PRIORITY_SQL} UNION ALL SELECT 'o_orderstatus', s, p::DOUBLE FROM (VALUES ('F', 0.49), ('O', 0.49), ('P', 0.02)) v(s, p)),
+c AS (SELECT 'o_orderpriority' AS field, o_orderpriority AS category, count(*) AS n FROM orders GROUP BY 2 UNION ALL SELECT 'o_orderstatus', o_orderstatus, count(*) FROM orders GROUP BY 2), s AS (SELECT *, n::DOUBLE / sum(n) OVER (PARTITION BY field) AS p FROM c),
+b AS (SELECT field, coalesce(p, 0) AS p, coalesce(q, 0) AS q, coalesce(n, 0) AS n, (SELECT count(*) FROM orders) AS total FROM s FULL JOIN t USING (field, category))
+SELECT field, max(total) AS n, round(sum(abs(p - q)), 6) AS l1, round(sum(abs(p - q)) / 2, 6) AS tv, round(max(abs(p - q)), 6) AS max_error, round(sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2, 6) AS js,
+round(sum(CASE WHEN q * total >= 5 THEN (n - q * total) ^ 2 / (q * total) ELSE 0 END), 4) AS statistic, count(*) FILTER (q * total >= 5) - 1 AS df FROM b GROUP BY field"""
+
+
+@query(TRUST_SQL)
 def trust_marginals(spark, sf_dir):
-    return report.marginal_errors(table(spark, sf_dir, "orders"), {"o_orderpriority": EVEN, "o_orderstatus": {"F": 0.49, "O": 0.49, "P": 0.02}})
+    got = report.marginal_errors(table(spark, sf_dir, "orders"), {"o_orderpriority": EVEN, "o_orderstatus": {"F": 0.49, "O": 0.49, "P": 0.02}})
+    return got.select("field", long("n").alias("n"), *[r6(c).alias(c) for c in ("l1", "tv", "max_error", "js")], F.round("statistic", 4).alias("statistic"), long("df").alias("df"))
 
 
 @query("""WITH c AS (SELECT l_returnflag AS a, l_linestatus AS b, count(*) AS n, 1.0::DOUBLE AS w FROM lineitem GROUP BY 1, 2),
@@ -584,9 +592,12 @@ def minhash_signature(spark, sf_dir):
     return duplicates.signed(table(spark, sf_dir, "documents"), "doc_id", "text").select("doc_id", F.array_join("sig", "").alias("sig"))
 
 
-@query()
+SAME_SQL = "len(list_filter(range(1, 21), lambda i: x.sig[i] = y.sig[i]))"
+
+
+@query(f"WITH {SHINGLES_SQL}, c AS (SELECT min(doc_id) AS id, sig FROM g GROUP BY sig) SELECT x.id AS a, y.id AS b, round({SAME_SQL} / 20, 6) AS similarity FROM c x JOIN c y ON x.id < y.id WHERE {SAME_SQL} > 16")
 def near_dup_pairs(spark, sf_dir):
-    return duplicates.similar_classes(table(spark, sf_dir, "documents"), "doc_id", "text")[0]
+    return duplicates.similar_classes(table(spark, sf_dir, "documents"), "doc_id", "text")[0].withColumn("similarity", r6("similarity"))
 
 
 @query(f"WITH {SHINGLES_SQL} SELECT x.doc_id, min(y.doc_id) AS class FROM g x JOIN g y ON x.sig = y.sig GROUP BY 1")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import logging
 import time
+import unicodedata
 import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator, Mapping, Sequence
@@ -17,6 +19,8 @@ CORRUPT = "_corrupt_record"
 #: A statistics document: column descriptions, and rows of keys and values.
 STATISTICS = "columns array<struct<code:string,text:string,type:string>>, data array<struct<key:array<string>,values:array<string>>>"
 
+log = logging.getLogger(__name__)
+
 
 def read(spark: SparkSession, path: str, schema: StructType | str | None = None, strict: bool = True) -> DataFrame:
     """Read .parquet, .orc, .csv, .json (an array) or .jsonl; other endings are an error.
@@ -96,14 +100,16 @@ def localities(spark: SparkSession, path: str) -> DataFrame:
 
 def first_available(loaders: Sequence[tuple[str, Callable[[], DataFrame]]]) -> tuple[str, DataFrame]:
     """The first of (provenance, loader) that loads rows; cache, service, built-in table in this order."""
+    failures: dict[str, str] = {}
     for name, load in loaders:
         try:
             df = load()
             if df.head(1):
                 return name, df
         except Exception as e:  # noqa: BLE001  the next source is the answer to any failure
-            print(f"{name}: {type(e).__name__}: {e}")
-    raise ValueError(f"no source of {[n for n, _ in loaders]} has rows")
+            failures[name] = f"{type(e).__name__}: {e}"
+            log.warning("%s: %s", name, failures[name])
+    raise ValueError(f"no source of {[n for n, _ in loaders]} has rows: {failures}")
 
 
 def query_body(variables: Sequence[Mapping], target: str, year: str | None = None) -> dict:
@@ -123,8 +129,9 @@ def query_body(variables: Sequence[Mapping], target: str, year: str | None = Non
 
 
 def find_variable(variables: Sequence[Mapping], part: str) -> Mapping | None:
-    """Of the variables whose text holds part, the one with most values."""
-    hits = [v for v in variables if part.lower() in (v.get("text") or v["code"]).lower()]
+    """Of the variables whose text holds part, marks and punctuation aside, the one with most values."""
+    bare = lambda x: " ".join("".join(c if c.isalnum() else " " for c in unicodedata.normalize("NFKD", x.lower()) if not unicodedata.combining(c)).split())
+    hits = [v for v in variables if bare(part) in bare(v.get("text") or v["code"])]
     return max(hits, key=lambda v: len(v["values"]), default=None)
 
 
