@@ -39,7 +39,7 @@ RURAL = ["Agricultor", "Fermier", "Meșteșugar", "Învățător", "Asistent med
 CAPITAL = ["Programator", "Analist financiar", "Consultant IT"]
 FORMER = ["profesor", "inginer", "medic", "contabil", "muncitor"]
 HIGHER = ["Superior (Licență/Master)", "Doctorat"]
-WORKING = ["Angajat", "Șomer", "Casnică", "Liber profesionist"]
+EMPLOYMENT = {"employed": 0.427, "unemployed": 0.018, "student": 0.08, "retired": 0.183, "homemaker": 0.06, "other_inactive": 0.232}
 FIRST = {"Feminin": ["Ana", "Elena", "Maria", "Natalia", "Olga", "Irina", "Doina", "Tatiana"], "Masculin": ["Ion", "Vasile", "Andrei", "Sergiu", "Mihai", "Nicolae", "Victor", "Alexandru"]}
 LAST = ["Rusu", "Ceban", "Munteanu", "Popa", "Ursu", "Moraru", "Cojocaru", "Lungu", "Bostan", "Railean"]
 
@@ -63,9 +63,12 @@ def _occupation(age: Column, education: Column, residence: Column, region: Colum
     )
 
 
-def population(ids: DataFrame, seed: int = 42, marginals: Mapping[str, Mapping[str, float]] = MARGINALS, conditionals: Mapping[str, tuple[str, DataFrame]] | None = None, ages: Mapping[int, int] | None = None) -> DataFrame:
+def population(ids: DataFrame, seed: int = 42, marginals: Mapping[str, Mapping[str, float]] = MARGINALS, conditionals: Mapping[str, tuple[str, DataFrame]] | None = None, ages: Mapping[int, int] | None = None, employment: Mapping[str, Mapping[str, float]] | None = None) -> DataFrame:
     """A record for each id; all in one projection unless conditionals {field: (given, table)} are joined.
 
+    employment, shares of status by age group, holds for those who are neither students nor
+    pensioners by occupation; groups it lacks follow the national shares.
+
     ages, counts by single age, shape the age within its group; without them the
     age is triangular.
     """
@@ -97,7 +100,10 @@ def population(ids: DataFrame, seed: int = 42, marginals: Mapping[str, Mapping[s
     steps = {k: u("job" + k) for k in ("first", "pick", "sector", "rural", "capital")}
     out = out.withColumn("job_", _occupation(F.col("age"), F.col("education_level"), F.col("residence_type"), F.col("region"), steps))
     job = F.col("job_.occupation")
-    status = F.when(job == "Student", "Student").when(job.startswith("Pensionar"), "Pensionar").otherwise(draw(dict(zip(WORKING, (0.8, 0.05, 0.05, 0.1), strict=True)), u("status")))
+    status = F.when(job == "Student", "student").when(job.startswith("Pensionar"), "retired")
+    for group, shares in (employment or {}).items():
+        status = status.when(F.col("age_group") == group, draw(shares, u("status")))
+    status = status.otherwise(draw(EMPLOYMENT, u("status")))
     first = F.when(F.col("sex") == "Feminin", uniform_item(FIRST["Feminin"], u("name"))).otherwise(uniform_item(FIRST["Masculin"], u("name")))
     base = {t: scalar.clamp(gaussian(50, 15, seed, i, t, fast01)).cast("int") for t in scalar.TRAITS}
     traits = scalar.adjusted_traits(base, F.col("age"), F.col("sex"), F.col("education_level"), job)

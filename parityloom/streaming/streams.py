@@ -102,6 +102,27 @@ def generate_sliced(spark: SparkSession, make: Callable[[DataFrame], DataFrame],
     return n
 
 
+def checkpoints(spark: SparkSession, path: str) -> DataFrame:
+    """(name, seed, first, end, complete, modified) of the slices that stand in a folder; one row a slice."""
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(path)
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    rows = []
+    for s in fs.listStatus(base) if fs.exists(base) else []:
+        name = s.getPath().getName()
+        if name.startswith("seed="):
+            seed, first, end = name.removeprefix("seed=").rsplit("-", 2)
+            rows.append((name, int(seed), int(first), int(end), fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS")), s.getModificationTime()))
+    return spark.createDataFrame(rows, "name string, seed long, first long, end long, complete boolean, modified long")
+
+
+def checkpoint_summary(spark: SparkSession, path: str, n: int) -> DataFrame:
+    """(seed, slices, rows, part, latest): what is complete for each seed of n rows, and the slice that was written last."""
+    done = checkpoints(spark, path).where("complete")
+    rows = F.sum(F.col("end") - F.col("first"))
+    return done.groupBy("seed").agg(F.count(F.lit(1)).alias("slices"), rows.alias("rows"), (rows / n).alias("part"), F.max_by("name", F.struct("modified", "name")).alias("latest"))
+
+
 class Progress(StreamingQueryListener):
     """Rows and rates of all queries, gathered for a report."""
 

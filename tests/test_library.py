@@ -174,3 +174,31 @@ def test_rules_on_empty_table(spark):
     df = people.generate(spark, 1).limit(0)
     assert rules.summary(df, rules.person_rules()).first()["n_rows"] == 0
     assert profile.field_shares(df, ["sex", "region"]).count() == 0
+
+
+def test_checkpoints_are_listed(spark, tmp_path):
+    path = str(tmp_path / "slices")
+    assert streams.checkpoints(spark, path).count() == 0
+    streams.generate_sliced(spark, lambda ids: ids, 25, 10, path, seed=7)
+    rows = streams.checkpoints(spark, path).orderBy("first").collect()
+    assert [(r["first"], r["end"], r["complete"]) for r in rows] == [(0, 10, True), (10, 20, True), (20, 25, True)]
+    got = streams.checkpoint_summary(spark, path, 50).first()
+    assert (got["seed"], got["slices"], got["rows"], got["part"]) == (7, 3, 25, 0.5) and got["latest"] in {r["name"] for r in rows}
+
+
+def test_employment_follows_the_age_group(spark):
+    got = people.population(spark.range(2000), employment={"35-44": {"employed": 1.0}})
+    here = {r[0] for r in got.where("age_group = '35-44'").select("employment_status").distinct().collect()}
+    there = {r[0] for r in got.where("age_group = '45-54'").select("employment_status").distinct().collect()}
+    assert here == {"employed"} and {"employed", "homemaker", "other_inactive"} <= there
+
+
+def test_variables_are_found_without_marks():
+    some = [{"code": "a", "text": "Raioane și municipii", "values": [1]}, {"code": "b", "text": "RAIOANE  SI-MUNICIPII (toate)", "values": [1, 2]}]
+    assert readers.find_variable(some, "raioane si municipii")["code"] == "b"
+
+
+def test_running_sums_by_range(spark):
+    rows = [(g, v, 1 + v % 3) for g in ("x", None) for v in range(200)]
+    got = profile.running(spark.createDataFrame(rows, "g string, v int, c int"), "c", ["g"], F.col("v").asc()).collect()
+    assert len(got) == 400 and all(r["upto"] == sum(1 + v % 3 for v in range(r["v"] + 1)) and r["total"] == 399 for r in got)
