@@ -30,7 +30,7 @@ from .common import shared_folder, shuffle_width, small_batches
 from .encoding import encoder
 
 #: The dictionary is trained on at most so many documents, those with the smallest
-#: hashes of id and text that are no longer than SAMPLE_CHARS. All documents are
+#: hashes of id and start of the text, of texts no longer than SAMPLE_CHARS. All documents are
 #: compressed with it.
 SAMPLE_DOCS, SAMPLE_CHARS = 800, 20_000
 DICTIONARY_BYTES = 65_536
@@ -47,11 +47,12 @@ def train(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id",
     """A dictionary from a bounded sample; empty if there is too little to learn from."""
     import zstandard
 
-    drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40))
-    texts = _texts(docs, id_col, text_col).where(F.length("text") <= SAMPLE_CHARS).withColumn("drawn", drawn)
-    # twice the rows that are needed lie below this on average, so that few texts travel however many there are
-    below = int((1 << 40) * min(1.0, 2 * SAMPLE_DOCS / max(1, texts.count())))
-    sample = texts.where(F.col("drawn") < below).orderBy("drawn", "doc_id").limit(SAMPLE_DOCS)
+    # the start of a text tells rows of one id apart; whole texts are read once, by the filter
+    drawn = F.pmod(F.xxhash64("doc_id", F.substring("text", 1, 64)), F.lit(1 << 40))
+    # four times the rows that are needed lie below this on average, so that few texts travel however many there are
+    below = int((1 << 40) * min(1.0, 4 * SAMPLE_DOCS / max(1, docs.count())))
+    texts = _texts(docs, id_col, text_col).withColumn("drawn", drawn)
+    sample = texts.where((F.col("drawn") < below) & (F.length("text") <= SAMPLE_CHARS)).orderBy("drawn", "doc_id").limit(SAMPLE_DOCS)
     end = np.array([end_id], "<u4").tobytes()
     arrays = [x + end for x in encoder(tokenizer, literal).encode([r["text"] for r in sample.collect()])]
     try:
