@@ -1,8 +1,9 @@
 """Token ids by a file of the tokenizers library, each distinct chunk once.
 
-A text is cut at single spaces between two characters that are no white space.
-The pre-tokenizers this is used for never put characters from both sides of such
-a space in one token, so the ids of the chunks, joined, are the ids of the text.
+A text is cut at single spaces between two characters that are no white space, and
+before single line feeds. The pre-tokenizers this is used for never put characters from
+both sides of such a cut in one token, so the ids of the chunks, joined, are the ids of
+the text. For the same reason a word and the ASCII marks after it are learned apart.
 For any other tokenizer file the texts are encoded whole.
 
 The added tokens of the file (such as an end-of-text mark) that stand in a text get
@@ -16,10 +17,12 @@ from __future__ import annotations
 import json
 import os
 import re
+import string
 from array import array
-from bisect import bisect_left
 from functools import lru_cache
 
+import numpy as np
+
 from .common import runs
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -28,6 +31,10 @@ _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 #: White space but for the space and the line feed.
 _ODD = tuple(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
 _FIRST = "^ ^"
+#: How byte-level tokens write a space.
+_SPACE = "\u0120"
+#: They end a run of letters, and none of them combines with a letter.
+_MARKS = string.punctuation
 #: Chunks that are remembered; beyond it, the memory is emptied. Results never
 #: depend on it.
 REMEMBERED = 1_000_000
@@ -77,50 +84,73 @@ class Encoder:
         # the longest of those that start at one place, as in the library
         self.around = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
         self.known: dict[str, bytes] = {}
-        self.stop = dict(zip(",.", self._ids([",", "."]), strict=True))
+        vocabulary, suffix = self.tokenizer.get_vocab(), (config.get("model") or {}).get("end_of_word_suffix")
+        self.edge = np.zeros(1 + max(vocabulary.values(), default=0), bool)
+        self.edge[[i for t, i in vocabulary.items() if (t.startswith(_SPACE) if self.cut == "space stays" else suffix and t.endswith(suffix))]] = True
+        #: Ids of runs of marks that follow a word.
+        self.tails: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def _together(self, texts: list[str]) -> list[bytes]:
-        """Ids of each of some chunks, encoded as one text, which is cheaper."""
-        e = self.tokenizer.encode("".join(texts), add_special_tokens=False)
-        ids, at = array("I", e.ids), [a for a, _ in e.offsets]
-        out, start, end = [], 0, 0
-        for text in texts:
-            end += len(text)
-            stop = bisect_left(at, end, start)
-            out.append(ids[start:stop].tobytes())
-            start = stop
-        return out
+    def _together(self, words: list[str]) -> list[bytes]:
+        """Ids of each of some words after a space, encoded as one text, which is cheaper.
+
+        Where the space stays it is in the first token of each word alone; where it goes,
+        the last token of each word has the suffix.
+        """
+        e = self.tokenizer.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)[0]
+        ids = np.array(e.ids, "<u4")
+        at = np.flatnonzero(self.edge[ids])
+        if len(at) != len(words):
+            return self._ids([" " + w for w in words])
+        cuts = (4 * (np.append(at, len(ids)) if self.cut == "space stays" else np.append(0, at + 1))).tolist()
+        out = ids.tobytes()
+        return [out[i:j] for i, j in zip(cuts, cuts[1:], strict=False)]
 
     def _chunks(self, text: str) -> list[str]:
+        # two line feeds may be one token
+        fed = text if "\n\n" in text else text.replace("\n", " \n")
         if self.cut == "space goes":
-            return text.split(" ")
-        parts = text.split(" ") if _regular(text) else _BETWEEN.split(text)
+            return fed.split(" ")
+        parts = fed.split(" ") if _regular(text) else _BETWEEN.split(text)
         # the first chunk has no space before it; no other chunk can start like this
         parts[0] = _FIRST + parts[0]
         return parts
 
+    def _bare(self, chunk: str) -> str:
+        """The text that a chunk stands for."""
+        if chunk.startswith(_FIRST):
+            return chunk[len(_FIRST) :]
+        return chunk if self.cut == "space goes" or chunk[:1] == "\n" else " " + chunk
+
     def _learn(self, chunks: set[str]) -> None:
-        """Remember the ids of new chunks; a word and a stop after it apart."""
-        known, stops = self.known, {}
+        """Remember the ids of new chunks; a word and the marks after it apart."""
+        known, marked, words, other = self.known, [], set(), []
         for c in chunks:
-            if c[-1:] in (",", ".") and c[-2:-1].isalpha() and c[-2] < "\u0250":
-                stops[c] = c[:-1]
-        new = sorted({stops.get(c, c) for c in chunks}.difference(known))
-        plain = [c for c in new if c and not c.startswith(_FIRST) and len(c) < LONGEST_REMEMBERED and c.isprintable()]
-        other = sorted(set(new).difference(plain))
-        space = " "  # for either cut: it stays in the first token, or goes
-        for i in range(0, len(plain), 200):
-            some = plain[i : i + 200]
-            known.update(zip(some, self._together([space + c for c in some]), strict=True))
+            word = c.rstrip(_MARKS)
+            if not word.isalpha() or len(c) >= LONGEST_REMEMBERED:
+                other.append(c)
+            elif len(word) == len(c):
+                words.add(c)
+            # letters that no lower-casing ends with a mark of its own, as it does the dotted capital i
+            elif word[-1] < "\u0250" and word[-1] != "\u0130":
+                marked.append((c, word, c[len(word) :]))
+                if word not in known:
+                    words.add(word)
+            else:
+                other.append(c)
+        plain = list(words)
+        for i in range(0, len(plain), 1000):
+            some = plain[i : i + 1000]
+            known.update(zip(some, self._together(some), strict=True))
         for i in range(0, len(other), 1000):
             some = other[i : i + 1000]
-            texts = [c[len(_FIRST) :] if c.startswith(_FIRST) else space + c if self.cut == "space stays" else c for c in some]
-            known.update(zip(some, self._ids(texts), strict=True))
-        for c, word in stops.items():
-            known[c] = known[word] + self.stop[c[-1]]
+            known.update(zip(some, self._ids([self._bare(c) for c in some]), strict=True))
+        tails = self.tails
+        new = list({t for _, _, t in marked}.difference(tails))
+        tails.update(zip(new, self._ids(new), strict=True))
+        known.update((c, known[word] + tails[t]) for c, word, t in marked)
 
     def _run(self, texts: list[str]) -> list[bytes]:
         cut = [self._chunks(t) for t in texts]
@@ -132,6 +162,7 @@ class Encoder:
             del self.known[chunk]
         if len(self.known) > REMEMBERED:
             self.known.clear()
+            self.tails.clear()
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
