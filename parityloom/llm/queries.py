@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, html_text, idfile, line_dedup, neighbours, packing, pii, quality, simhash, toxicity
+from . import decontamination, html_text, idfile, line_dedup, neighbours, packing, pii, quality, simhash, source_divergence, toxicity
 from .common import fold, table
 
 #: Documents of one fold are never learnt from: (number of folds, fold held out).
@@ -80,5 +80,9 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % QUERY_STEP == 0, NEIGHBOURS)
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_simhash, op3_packing, op4_line_dedup, op5_quality, op6_html, op7_token_file, op8_toxicity, op9_decontamination, op10_neighbours)}
-ORACLE: dict[str, str] = {}
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op2_simhash, op3_packing, op4_line_dedup, op5_quality, op6_html, op7_token_file, op8_toxicity, op9_decontamination, op10_neighbours, op11_source_divergence)}
+ORACLE: dict[str, str] = {"op11_source_divergence": source_divergence.SQL}
