@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, html_text, idfile, line_dedup, neighbours, packing, pii, quality, simhash, source_divergence, toxicity
+from . import decontamination, html_text, idfile, line_dedup, neighbours, packing, pii, quality, simhash, source_divergence, spelling, suffix_tree, toxicity
 from .common import fold, table
 
 #: Documents of one fold are never learnt from: (number of folds, fold held out).
-QUALITY_FOLD, TOXIC_FOLD = (5, 0), (4, 2)
+QUALITY_FOLD, TOXIC_FOLD, LM_FOLD = (5, 0), (4, 2), (10, 0)
 LEAST_SCORE = 0.3
 WINDOW, PACK_END, FILE_END = 1024, 0, 2
 NEIGHBOURS, QUERY_STEP = 5, 50
@@ -84,5 +84,14 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.audit(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_simhash, op3_packing, op4_line_dedup, op5_quality, op6_html, op7_token_file, op8_toxicity, op9_decontamination, op10_neighbours, op11_source_divergence)}
-ORACLE: dict[str, str] = {"op11_source_divergence": source_divergence.SQL}
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = suffix_tree.scored(table(spark, sf_dir, "documents"), ~held_out(LM_FOLD))
+    return got.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op2_simhash, op3_packing, op4_line_dedup, op5_quality, op6_html, op7_token_file, op8_toxicity, op9_decontamination, op10_neighbours, op11_source_divergence, op12_lm_scoring, op13_spelling_variants)}
+ORACLE: dict[str, str] = {"op11_source_divergence": source_divergence.SQL, "op13_spelling_variants": spelling.SQL}
