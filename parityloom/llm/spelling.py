@@ -26,9 +26,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import forget, saved
-from .source_divergence import ascii_lower
+from .source_divergence import ascii_lower, matches
 
-RUN = r"[A-Za-zÀ-ÿ]+"
+#: What stands between words: all but A-Z, a-z and U+00C0 to U+00FF, without a negation, which takes ten times as long.
+BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\xBF\x{100}-\x{10FFFF}]+"
 LEAST_LENGTH, LEAST_COUNT, RATIO, STEP, BLOCK = 5, 3, 2, 97, 48
 KEY = ["L", "lo", "hi", "block"]
 
@@ -36,7 +37,7 @@ KEY = ["L", "lo", "hi", "block"]
 def dictionary(docs: DataFrame, least_length: int = LEAST_LENGTH, least_count: int = LEAST_COUNT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(word, n) of the words with enough code points and occurrences."""
     doc = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    runs = docs.select(doc.alias("d"), F.explode(F.regexp_extract_all(ascii_lower(F.col(text_col)), F.lit(RUN), F.lit(0))).alias("r"))
+    runs = docs.select(doc.alias("d"), F.explode(matches(ascii_lower(F.col(text_col)), BETWEEN)).alias("r"))
     hashed = runs.select("r", F.crc32(F.concat("d", F.lit(":"), "r").cast("binary")).alias("h"))
     at = F.pmod("h", F.length("r").cast("long")).cast("int")
     cut = F.concat(F.substring("r", F.lit(1), at), F.substring("r", at + 2, F.length("r")))
