@@ -9,7 +9,8 @@ is kept if it occurs LEAST_CONTEXT times and its divergence from its parent, est
 occurrence left out of the counts it is tried on, and times N, is over LEAST_GAIN decimal digits. A token is scored by
 the longest state that ends the words before it; a text begins with a mark of its own.
 
-Counts are grouped sums of all training tokens, added up in blocks before they are shuffled. The tree is a table: for
+Counts are sums over all training tokens: pairs and triples are counted in blocks, packed into lanes by their hash, and added
+up there, so a frequent one is one entry a block. The tree is a table: for
 each kept context what a token unseen there loses against its parent, and for each token seen there its
 gain over the root. Tokens are packed by the word before them into lanes and sent once; the tree's rows
 of a lane meet them there. A word before more tokens than a lane should have is dealt out over several
@@ -17,7 +18,7 @@ lanes, to which its rows are copied, so no lane grows with a frequent word, pair
 tokens: the at most 2**17 words that make so large a share of N go to all tasks, the others are joined. Two filters of
 FILTER bits keep tokens at home that no state can score; they change no result.
 
-Words stand as 64-bit hashes. Nulls: a null text is an empty one, which has its end to score; a null id is in the
+Words stand as 64-bit hashes, taken from the bytes of a whole batch of texts at once. Nulls: a null text is an empty one, which has its end to score; a null id is in the
 training fold or not as the caller says. Repeated rows are scored, and learnt from, each for itself. Without
 training rows every score is 0. An empty table gives no rows. Other columns are ignored.
 """
@@ -33,23 +34,81 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import forget, numbered, saved, shuffle_width, small_batches, unused
-from .line_dedup import _blanks, _words
-from .source_divergence import ascii_lower
 
 ALPHA, K, LEAST_COUNT, LEAST_CONTEXT, LEAST_GAIN = 0.1, 2.0, 2, 12, 2.0
-HEAVY, FILTER, BLOCK, LANE = 1 << 17, 1 << 22, 1_000_000, 8_000_000
+#: Most words that go to all tasks, bits of a filter, tokens of a block, and of a lane at 6 bytes each.
+HEAVY, FILTER, BLOCK, LANE, TOKEN = 1 << 17, 1 << 22, 2_000_000, 3_000_000, 6
 #: What stands before a text, two places before it, and tells keys of the four kinds of rows apart.
 BEGIN, NONE = 0x5BD1E9955BD1E995, 0
 PAIR, TRIPLE, ONE, TWO = 0x1B873593CC9E2D51, 0x2127599BF4325C37, 0x4CF5AD432745937F, 0x38495AB569CC5DF1
-#: The end of a text: no word has a blank in it.
-END = "the end"
+#: The end of a text.
+END = 0x2545F4914F6CDD1D
 SCORED = "row long, h long, n long, known long, x double"
-
-
-def hashes(docs: DataFrame, row: str, text_col: str = "text") -> DataFrame:
-    """(row, h): the hashes of each text's tokens, the end last."""
-    words = _words(_blanks(F.replace(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit("\n"), F.lit(" "))))
-    return docs.select(F.col(row).alias("row"), F.concat(F.transform(words, lambda w: F.xxhash64(w)), F.array(F.xxhash64(F.lit(END)))).alias("h"))
+_FOLDED = np.arange(256, dtype=np.uint8)
+_FOLDED[65:91] += 32
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+#: An odd number and its inverse modulo 2**64, and how many bytes are hashed at once.
+BASE, SPAN = 0x9E3779B97F4A7C15, 1 << 20
+_powers: list[np.ndarray] = []
+
+
+def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of BASE and of its inverse, n at least."""
+    if not _powers or len(_powers[0]) < n:
+        made = []
+        for x in (BASE, pow(BASE, -1, 1 << 64)):
+            with np.errstate(over="ignore"):
+                steps = np.full(max(n, SPAN), np.uint64(x))
+                steps[0] = 1
+                made.append(np.cumprod(steps, dtype=np.uint64))
+        _powers[:] = made
+    return _powers[0], _powers[1]
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words data[start:end], A-Z lower-cased: differences of running sums of bytes times powers, then mixed."""
+    out = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        low = starts[at]
+        to = max(at + 1, int(np.searchsorted(ends, low + SPAN, "right")))
+        power, inverse = _power(int(ends[to - 1] - low))
+        part = _FOLDED[data[low : ends[to - 1]]].astype(np.uint64) + np.uint64(1)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(part * power[: len(part)], dtype=np.uint64)])
+        a, b = starts[at:to] - low, ends[at:to] - low
+        out[at:to] = (sums[b] - sums[a]) * inverse[a] + (b - a).astype(np.uint64)
+        at = to
+    out ^= out >> np.uint64(32)
+    out *= np.uint64(0xD6E8FEB86659FD93)
+    out ^= out >> np.uint64(29)
+    out *= np.uint64(0xA0761D6478BD642F)
+    return (out ^ (out >> np.uint64(32))).view(np.int64)
+
+
+def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The number of tokens of each text, and the hashes of all in order; the end is a token."""
+    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    _, places, body = texts.buffers()
+    offsets = np.frombuffer(places, kind)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    data = np.frombuffer(body, np.uint8)[offsets[0] : offsets[-1]] if body is not None else np.zeros(0, np.uint8)
+    offsets = offsets - offsets[0]
+    blank = _SPACE[data]
+    first, last = np.ones(len(data), bool), np.ones(len(data), bool)
+    first[1:], last[:-1] = blank[:-1], blank[1:]
+    # no word goes on from one text to the next
+    first[offsets[offsets < len(data)]], last[offsets[offsets > 0] - 1] = True, True
+    starts, ends = np.flatnonzero(~blank & first), np.flatnonzero(~blank & last) + 1
+    counts = np.diff(np.searchsorted(starts, offsets))
+    stop = np.cumsum(counts + 1) - 1
+    out = np.empty(len(starts) + len(counts), np.int64)
+    word = np.ones(len(out), bool)
+    word[stop] = False
+    out[word], out[stop] = word_hashes(data, starts, ends), END
+    return counts + 1, out
+
+
+def texts(docs: DataFrame, row: str, text_col: str = "text") -> DataFrame:
+    return docs.select(F.col(row).alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
 def turned(h: Column, by: int) -> Column:
@@ -89,9 +148,8 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]
         return rows, np.repeat(np.arange(len(rows)), lengths), t, u, w
 
     for b in batches:
-        lists = b.column(1)
-        lengths, flat = np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy()
-        if len(lengths):
+        if len(b):
+            lengths, flat = tokens(b.column(1))
             held.append((b.column(0).to_numpy(), lengths, flat))
             size += len(flat)
         if size >= BLOCK:
@@ -117,21 +175,68 @@ def _within(bits: np.ndarray, k: np.ndarray) -> np.ndarray:
     return (bits[b >> np.uint64(3)] >> (np.uint8(7) - (b & np.uint64(7)).astype(np.uint8))) & 1 == 1
 
 
-def counted(tokens: DataFrame, contexts: np.ndarray | None = None) -> DataFrame:
-    """(u, w, n), or (t, u, w, n) where the filter has (t, u): how often each pair or triple occurs, if LEAST_COUNT times."""
-    names = ["u", "w"] if contexts is None else ["t", "u", "w"]
+def packed(**arrays: np.ndarray) -> bytes:
+    import zstandard
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    to = io.BytesIO()
+    np.savez(to, **arrays)
+    return zstandard.compress(to.getvalue(), 3)
+
+
+def unpacked(blob: bytes) -> dict[str, np.ndarray]:
+    import zstandard
+
+    return dict(np.load(io.BytesIO(zstandard.decompress(blob))))
+
+
+def _codes(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    known, code = np.unique(x, return_inverse=True)
+    return known, code.astype(np.min_scalar_type(max(1, len(known))))
+
+
+def _lanes(lane: np.ndarray, lanes: int, *within: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each lane that occurs with its places, in order of within."""
+    order = np.lexsort((*within, lane))
+    ends = np.searchsorted(lane[order], np.arange(lanes + 1))
+    for i in np.flatnonzero(np.diff(ends)):
+        yield int(i), order[ends[i] : ends[i + 1]]
+
+
+def _chunk(lane: int, **arrays: np.ndarray) -> pa.RecordBatch:
+    return pa.record_batch([pa.array([lane]), pa.array([packed(**arrays)], pa.binary())], ["lane", "blob"])
+
+
+def counted(rows: DataFrame, lanes: int, contexts: np.ndarray | None = None) -> DataFrame:
+    """(t, u, w, n): how often tokens (t, u none), pairs (t none) or, with a filter of contexts (t, u), triples occur; the latter two if LEAST_COUNT times."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, t, u, w in blocks(batches):
             if contexts is not None:
                 some = (t != NONE) & _within(contexts, keys(TWO, t, u))
-                t, u, w = t[some], u[some], w[some]
-            of = {"t": t, "u": u, "w": w}
-            _, first, n = np.unique(keys(TRIPLE, t, u, w) if contexts is not None else keys(PAIR, u, w), return_index=True, return_counts=True)
-            yield pa.record_batch([*[pa.array(of[c][first]) for c in names], pa.array(n)], [*names, "n"])
+                grams = [(t[some], u[some], w[some])]
+            else:
+                none = np.full(len(w), NONE)
+                grams = [(none, none, w), (none, u, w)]
+            for gram in grams:
+                k, first, n = np.unique(keys(TRIPLE, *gram), return_index=True, return_counts=True)
+                gram = [x[first] for x in gram]
+                for lane, part in _lanes(k % lanes, lanes, gram[2], gram[1]):
+                    known, code = _codes(np.concatenate([x[part] for x in gram]))
+                    yield _chunk(lane, words=known, code=code, n=n[part].astype(np.min_scalar_type(int(n.max()))))
+
+    def add(found: pa.Table) -> pa.Table:
+        parts = []
+        for blob in found["blob"]:
+            got = unpacked(blob.as_py())
+            parts.append((*np.split(got["words"][got["code"]], 3), got["n"].astype(np.int64)))
+        t, u, w, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        _, first, which = np.unique(keys(TRIPLE, t, u, w), return_index=True, return_inverse=True)
+        n = np.bincount(which, n).astype(np.int64)
+        t, u, w = t[first], u[first], w[first]
+        often = (n >= LEAST_COUNT) | (u == NONE)
+        return pa.table({"t": t[often], "u": u[often], "w": w[often], "n": n[often]})
 
-    each = tokens.mapInArrow(run, ", ".join(f"{c} long" for c in [*names, "n"]))
-    return each.groupBy(*names).agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_COUNT)
+    return rows.mapInArrow(pack, "lane long, blob binary").groupBy("lane").applyInArrow(add, "t long, u long, w long, n long")
 
 
 def _states(seen: DataFrame, by: list[str], total: DataFrame, parent: Column, k: float, least: int, gain: float) -> tuple[DataFrame, DataFrame]:
@@ -152,15 +257,19 @@ def _states(seen: DataFrame, by: list[str], total: DataFrame, parent: Column, k:
     return kept, out
 
 
-def learnt(tokens: DataFrame, words: DataFrame, rows: int, p0: Callable[[str], Column], least: int = LEAST_CONTEXT, gain: float = LEAST_GAIN, k: float = K) -> tuple[DataFrame, np.ndarray, np.ndarray]:
-    """The tree (u, key, value), u the latest word of the context, and filters of its contexts of one and of two words."""
-    begin = tokens.sparkSession.createDataFrame([(BEGIN, rows)], "h long, c long")
-    pairs = saved(counted(tokens), "pairs", "zstd")
+def words_of(grams: DataFrame) -> DataFrame:
+    return grams.where(F.col("u") == NONE).select(F.col("w").alias("h"), F.col("n").alias("c"))
+
+
+def learnt(rows: DataFrame, grams: DataFrame, docs: int, p0: Callable[[str], Column], lanes: int, least: int = LEAST_CONTEXT, gain: float = LEAST_GAIN, k: float = K) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """The tree (u, key, value), u the latest word of the context, and filters of its contexts of one and of two words; grams are counted tokens and pairs."""
+    begin = rows.sparkSession.createDataFrame([(BEGIN, docs)], "h long, c long")
+    words, pairs = words_of(grams), grams.where(F.col("u") != NONE).drop("t")
     seen = pairs.join(words.select(F.col("h").alias("w"), p0("c").alias("p0")), "w")
     one, gains1 = _states(seen, ["u"], words.unionByName(begin).select(F.col("h").alias("u"), F.col("c").alias("total")), F.col("p0"), k, least, gain)
     often = pairs.where(F.col("n") >= least).select(F.col("u").alias("t"), F.col("w").alias("u"), F.col("n").alias("total")).join(one.select("u"), "u", "left_semi")
     contexts = saved(often, "contexts", "zstd")
-    triples = counted(tokens, _bits(contexts.select(_bucket(key(TWO, F.col("t"), F.col("u"))))))
+    triples = saved(counted(rows, lanes, _bits(contexts.select(_bucket(key(TWO, F.col("t"), F.col("u")))))), "triples", "zstd")
     above = gains1.select("u", "w", "p0", F.col("gain").alias("gain1"))
     two, gains2 = _states(triples.join(above, ["u", "w"]), ["t", "u"], contexts, F.col("p0") * F.pow(F.lit(10.0), "gain1"), k, least, gain)
     t, u, w = F.col("t"), F.col("u"), F.col("w")
@@ -168,49 +277,27 @@ def learnt(tokens: DataFrame, words: DataFrame, rows: int, p0: Callable[[str], C
     tree = tree.unionByName(two.select("u", key(TWO, t, u).alias("key"), F.col("pen").alias("value"))).unionByName(gains2.select("u", key(TRIPLE, t, u, w).alias("key"), F.col("gain").alias("value")))
     tree = saved(tree, "tree", "zstd")
     ones, twos = _bits(one.select(_bucket(key(ONE, u)))), _bits(two.select(_bucket(key(TWO, t, u))))
-    forget(pairs, one, gains1, contexts, two, gains2)
+    forget(one, gains1, contexts, triples, two, gains2)
     return tree, ones, twos
 
 
-def packed(**arrays: np.ndarray) -> bytes:
-    import zstandard
-
-    to = io.BytesIO()
-    np.savez(to, **arrays)
-    return zstandard.compress(to.getvalue(), 3)
-
-
-def unpacked(blob: bytes) -> dict[str, np.ndarray]:
-    import zstandard
-
-    return dict(np.load(io.BytesIO(zstandard.decompress(blob))))
-
-
-def _codes(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    known, code = np.unique(x, return_inverse=True)
-    return known, code.astype(np.min_scalar_type(max(1, len(known))))
-
-
-def over_root(tokens: DataFrame, tree: DataFrame, ones: np.ndarray, twos: np.ndarray, hot: dict[int, int], lanes: int) -> DataFrame:
+def over_root(rows: DataFrame, tree: DataFrame, ones: np.ndarray, twos: np.ndarray, hot: dict[int, int], lanes: int) -> DataFrame:
     """(row, x): sums of what the states add to the root's logarithms of a row's tokens; hot has the number of lanes of words before very many."""
     hot_words, hot_parts = (np.array(x, np.int64) for x in (sorted(hot), [hot[w] for w in sorted(hot)]))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, d, t, u, w in blocks(batches):
+        for rows_, d, t, u, w in blocks(batches):
             some = _within(ones, keys(ONE, u))
             d, t, u, w = d[some], t[some], u[some], w[some]
             t[~_within(twos, keys(TWO, t, u))] = NONE
             lane = u % lanes
             if len(hot_words):
                 at = np.minimum(np.searchsorted(hot_words, u), len(hot_words) - 1)
-                lane = np.where(hot_words[at] == u, (lane + int(rows[0]) % hot_parts[at]) % lanes, lane)
-            order = np.lexsort((u, lane))
-            ends = np.searchsorted(lane[order], np.arange(lanes + 1))
-            for i in np.flatnonzero(np.diff(ends)):
-                part = order[ends[i] : ends[i + 1]]
+                lane = np.where(hot_words[at] == u, (lane + int(rows_[0]) % hot_parts[at]) % lanes, lane)
+            for i, part in _lanes(lane, lanes, u):
                 known, code = _codes(np.concatenate([t[part], u[part], w[part]]))
-                whose, who = _codes(rows[d[part]])
-                yield pa.record_batch([pa.array([int(i)]), pa.array([packed(rows=whose, d=who, words=known, code=code)], pa.binary())], ["lane", "blob"])
+                whose, who = _codes(rows_[d[part]])
+                yield _chunk(i, rows=whose, d=who, words=known, code=code)
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         order = np.argsort(right["key"].to_numpy())
@@ -231,36 +318,36 @@ def over_root(tokens: DataFrame, tree: DataFrame, ones: np.ndarray, twos: np.nda
             hit, gain = find(keys(TRIPLE, t, u, w))
             x = np.where(deep & (t != NONE), np.where(hit, gain, pen + x), x)
             out.append((got["rows"], np.bincount(got["d"], x, len(got["rows"]))))
-        rows, x = (np.concatenate([o[i] for o in out]) if out else np.zeros(0) for i in range(2))
-        return pa.table({"row": pa.array(rows.astype(np.int64)), "x": pa.array(x.astype(float))})
+        whose, x = (np.concatenate([o[i] for o in out]) if out else np.zeros(0) for i in range(2))
+        return pa.table({"row": pa.array(whose.astype(np.int64)), "x": pa.array(x.astype(float))})
 
-    chunks = tokens.mapInArrow(pack, "lane long, blob binary")
+    chunks = rows.mapInArrow(pack, "lane long, blob binary")
     spread = tree.withColumn("lane", F.pmod("u", F.lit(lanes).cast("long")))
     if hot:
-        parts = tokens.sparkSession.createDataFrame(list(hot.items()), "u long, parts long")
+        parts = rows.sparkSession.createDataFrame(list(hot.items()), "u long, parts long")
         spread = spread.join(F.broadcast(parts), "u", "left").withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)) - 1))).withColumn("lane", F.pmod(F.col("lane") + F.col("i"), F.lit(lanes)))
     return chunks.groupBy("lane").cogroup(spread.select("lane", "key", "value").groupBy("lane")).applyInArrow(score, "row long, x double").groupBy("row").agg(F.sum("x").alias("x"))
 
 
-def based(tokens: DataFrame, words: DataFrame, total: int) -> DataFrame:
+def based(rows: DataFrame, words: DataFrame, total: int) -> DataFrame:
     """(row, n, known, x): tokens, those known, and the sum of log10(c + ALPHA)."""
     heavy = words.where(F.col("c") > total / HEAVY).toArrow()
     order = np.argsort(heavy["h"].to_numpy())
     h_, x_ = heavy["h"].to_numpy()[order], np.log10(heavy["c"].to_numpy()[order] + ALPHA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, d, _, _, w in blocks(batches):
+        for rows_, d, _, _, w in blocks(batches):
             at = np.minimum(np.searchsorted(h_, w), max(0, len(h_) - 1))
             hit = h_[at] == w if len(h_) else np.zeros(len(w), bool)
-            sums = [np.bincount(d, minlength=len(rows)), np.bincount(d[hit], minlength=len(rows)), np.bincount(d[hit], x_[at[hit]], len(rows))]
+            sums = [np.bincount(d, minlength=len(rows_)), np.bincount(d[hit], minlength=len(rows_)), np.bincount(d[hit], x_[at[hit]], len(rows_))]
             # row numbers in place of hashes: they meet no word, or one that is not looked at
-            yield pa.record_batch([pa.array(rows), pa.array(rows), *[pa.array(s.astype(c)) for s, c in zip(sums, (np.int64, np.int64, float), strict=True)]], ["row", "h", "n", "known", "x"])
+            yield pa.record_batch([pa.array(rows_), pa.array(rows_), *[pa.array(s.astype(c)) for s, c in zip(sums, (np.int64, np.int64, float), strict=True)]], ["row", "h", "n", "known", "x"])
             far = ~hit
             (_, code), w = _codes(w[far]), w[far]
             _, first, n = np.unique(d[far].astype(np.int64) << 32 | code, return_index=True, return_counts=True)
-            yield pa.record_batch([pa.array(rows[d[far][first]]), pa.array(w[first]), pa.array(n.astype(np.int64)), pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.float64())], ["row", "h", "n", "known", "x"])
+            yield pa.record_batch([pa.array(rows_[d[far][first]]), pa.array(w[first]), pa.array(n.astype(np.int64)), pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.float64())], ["row", "h", "n", "known", "x"])
 
-    each = tokens.mapInArrow(run, SCORED)
+    each = rows.mapInArrow(run, SCORED)
     met = each.join(words, "h", "left")
     c = F.coalesce("c", F.lit(0))
     rare = F.col("known").isNull()
@@ -276,17 +363,20 @@ def scored(docs: DataFrame, train: Column, least: int = LEAST_CONTEXT, gain: flo
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(train, F.lit(False)).alias("trained"))
     row = unused(docs.columns, "row")
     docs = numbered(docs, row)
-    tokens, learning = hashes(docs, row), hashes(docs.where("trained"), row)
-    words = saved(learning.select(F.explode("h").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("c")), "words", "zstd")
+    every, learning = texts(docs, row), texts(docs.where("trained"), row)
+    size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    lanes = max(shuffle_width(spark), -(-size // (LANE * TOKEN)))
+    grams = saved(counted(learning, lanes), "grams", "zstd")
+    words = words_of(grams)
     total, kinds = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).head()
-    rows = words.where(F.col("h") == F.xxhash64(F.lit(END))).select("c").head()
+    rows = words.where(F.col("h") == END).select("c").head()
     rows = rows[0] if rows else 0
     down = total + ALPHA * (kinds + 1)
-    tree, ones, twos = learnt(learning, words, rows, lambda c: (F.col(c) + ALPHA) / down, least, gain, k)
-    lanes = max(shuffle_width(spark), -(-total // LANE))
+    tree, ones, twos = learnt(learning, grams, rows, lambda c: (F.col(c) + ALPHA) / down, lanes, least, gain, k)
     many = words.where(F.col("c") * lanes > 2 * F.lit(total)).collect()  # at most half as many as lanes
     hot = {r["h"]: -(-r["c"] * lanes // total) for r in many} | ({BEGIN: -(-rows * lanes // total)} if rows * lanes > 2 * total else {})
-    base, more = based(tokens, words, total), over_root(tokens, tree, ones, twos, hot, lanes)
+    base = based(every, words, total)
+    more = over_root(every, tree, ones, twos, hot, lanes)
     got = base.join(more.withColumnRenamed("x", "more"), "row", "left")
     b = F.col("x") - F.col("n") * F.lit(float(np.log10(down)))
     out = got.select(F.col("row").alias(row), F.col("n").alias("n_tokens"), F.col("known").alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"), b.alias("base_score"), (b + F.coalesce("more", F.lit(0.0))).alias("score"))

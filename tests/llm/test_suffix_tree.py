@@ -141,3 +141,23 @@ def test_query(spark):
     for doc, trained, n, known, total, base, score in want:
         assert got[doc][:5] == (doc, not trained, n, known, total)
         assert got[doc][5:] == pytest.approx((base, score), abs=1e-5)
+
+
+@pytest.mark.parametrize("texts", [[""], [], ["a"], ["a b", "", " ", "c"], ["The the THE", "\x00 \x00\x00 É\xa0é \x0b\x0c\r\nx"], ["ab", "cd", "abcd"], [" lead", "trail ", ""]])
+def test_hashes_stand_for_words(texts):
+    import pyarrow as pa
+
+    for cut in (0, 1):
+        n, h = suffix_tree.tokens(pa.array(["zz"] * cut + texts, pa.string()).slice(cut))
+        flat = [w for t in texts for w in words(t)]
+        assert n.tolist() == [len(words(t)) for t in texts] and len(h) == len(flat)
+        assert len(set(zip(h.tolist(), flat))) == len(set(flat)) == len(set(h.tolist()))
+
+
+def test_long_words_are_hashed_in_parts(monkeypatch):
+    import pyarrow as pa
+
+    text = "a" * 5000 + " b " + "a" * 4999 + " c" * 3000 + " " + "a" * 5000
+    whole = suffix_tree.tokens(pa.array([text]))[1].tolist()
+    monkeypatch.setattr(suffix_tree, "SPAN", 100)
+    assert suffix_tree.tokens(pa.array([text]))[1].tolist() == whole and whole[0] == whole[-2] != whole[2]
