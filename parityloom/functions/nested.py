@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.common import small
+from ..operators.common import saved, small
 
 
 def list_to_json(values: Column) -> Column:
@@ -50,6 +50,36 @@ def bounded_fields(rows: DataFrame, values: str, bounds: DataFrame) -> DataFrame
     return rows.select("*", F.explode_outer(values).alias("key", "value")).join(small(bounds), "key").where(~F.length("value").between(F.col("least"), F.col("most")))
 
 
+def tree_leaves(rows: DataFrame, tree: str, keep: Sequence[str] = (), most: int = 100) -> DataFrame:
+    """(keep, path, kind, value) of every leaf of a VARIANT column, however deep; path is an array of keys, and of places as text.
+
+    Each round opens the objects and lists of one level, all rows at once and without a shuffle, until none is left; the table
+    is written between rounds, so a plan is one level deep. Leaves are texts, numbers, booleans, nulls, and empty objects
+    and lists; value is the leaf as text, null for a null. A null column has no leaf. More than `most` levels are an error.
+    """
+    spark = rows.sparkSession
+    keep = list(keep)
+    kind = F.regexp_extract(F.schema_of_variant("v_"), "^[A-Z]+", 0)
+    now = rows.where(F.col(tree).isNotNull()).select(*keep, F.array().cast("array<string>").alias("path"), F.col(tree).alias("v_"))
+    out = None
+    for _ in range(most):
+        known = now.withColumn("kind", kind).withColumn("empty_", F.to_json("v_").isin("{}", "[]"))
+        open_ = F.col("kind").isin("OBJECT", "ARRAY") & ~F.col("empty_")
+        leaf = known.where(~open_).select(*keep, "path", "kind", F.when(F.col("empty_"), F.to_json("v_")).otherwise(F.try_variant_get("v_", "$", "string")).alias("value"))
+        out = leaf if out is None else out.unionByName(leaf)
+        inner = known.where(open_)
+        if inner.isEmpty():
+            return out
+        opened = inner.alias("t").lateralJoin(spark.tvf.variant_explode(F.col("t.v_").outer()).alias("e"))
+        now = saved(opened.select(*[F.col(f"t.{c}") for c in keep], F.concat("t.path", F.array(F.coalesce("e.key", F.col("e.pos").cast("string")))).alias("path"), F.col("e.value").alias("v_")), "tree")
+    raise ValueError(f"a tree has more than {most} levels")
+
+
+def at_path(tree: Column, path: str, kind: str = "double", default=0.0) -> Column:
+    """The value at a path like $.a.b[0] of a VARIANT, or the default if there is none of that kind."""
+    return F.coalesce(F.try_variant_get(tree, path, kind), F.lit(default).cast(kind))
+
+
 def leaves(rows: DataFrame, nested: str) -> DataFrame:
     """(outer, inner, value) of a map of maps."""
     return rows.select(F.explode(nested).alias("outer", "m")).select("outer", F.explode("m").alias("inner", "value"))

@@ -30,7 +30,16 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
     """Write to the shared folder and read again."""
     path = f"{shared_folder(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.saved_at = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete saved tables that nothing reads any more."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.saved_at)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

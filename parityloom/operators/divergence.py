@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.math import adaptive_tolerance, chi2_p
+from .common import saved
 from .profile import joint, running
 
 
@@ -106,7 +107,7 @@ def weight_quality(df: DataFrame, weight: str, top: float = 0.05) -> DataFrame:
     The heaviest rows are found over distinct weights with their counts, dealt out
     by ranges, so no task holds all rows.
     """
-    levels = df.where(F.col(weight).isNotNull()).groupBy(F.col(weight).cast("double").alias("w")).agg(F.count(F.lit(1)).alias("c"))
+    levels = saved(df.where(F.col(weight).isNotNull()).groupBy(F.col(weight).cast("double").alias("w")).agg(F.count(F.lit(1)).alias("c")), "levels")
     whole = levels.agg(F.sum("c").alias("n"), F.sum(F.col("w") * F.col("c")).alias("sw"), F.sum(F.col("w") * F.col("w") * F.col("c")).alias("sww"), F.max("w").alias("mw"))
     placed = running(levels, "c", [], F.desc("w"))
     k = F.greatest(F.lit(1), (F.col("total") * top).cast("long"))

@@ -87,7 +87,8 @@ def running(counts: DataFrame, amount: str, by: Sequence[str], *order: Column) -
 def nearest_rank(df: DataFrame, value: str, points: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """sorted[min(int(p n), n - 1)] of each group, without collecting a group: distinct values are counted, then cumulated."""
     keys = list(by)
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("c"))
+    # saved first: the ranges are found by a sample, which would count all rows once more
+    counts = saved(df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("c")), "levels")
     runs = running(counts, "c", keys, F.col(value).asc())
     out = []
     for p in points:
@@ -102,6 +103,22 @@ def summary(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     return df.groupBy(*by).agg(F.count(v).alias("n"), F.avg(v).alias("mean"), F.min(v).alias("low"), F.max(v).alias("high"), F.stddev_pop(v).alias("std"), F.var_pop(v).alias("variance"))
 
 
+def stage_summary(df: DataFrame, stage: Sequence[str], latency: str, ok: Column, retries: Column) -> DataFrame:
+    """(stage, attempts, success_rate, failure_rate, mean_retries, mean, p50, p95, p99): how attempts of each stage went; percentiles by nearest rank."""
+    good = F.coalesce(ok, F.lit(False))
+    n = F.count(F.lit(1))
+    rates = df.groupBy(*stage).agg(n.alias("attempts"), (F.count_if(good) / n).alias("success_rate"), (F.count_if(~good) / n).alias("failure_rate"), F.avg(retries).alias("mean_retries"), F.avg(latency).alias("mean"))
+    ranks = nearest_rank(df, latency, (0.5, 0.95, 0.99), stage)
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in stage]
+    return rates.alias("a").join(ranks.alias("b"), same, "left").select("a.*", "b.p50", "b.p95", "b.p99")
+
+
+def failure_reasons(df: DataFrame, stage: Sequence[str], ok: Column, reason: Column) -> DataFrame:
+    """(stage, reason, n, share) of the attempts that failed; a null reason is one."""
+    failed = df.where(~F.coalesce(ok, F.lit(False)))
+    return with_share(failed.groupBy(*stage, reason.alias("reason")).agg(F.count(F.lit(1)).alias("n")), stage)
+
+
 def histogram(df: DataFrame, bin_: Column, by: Sequence[str] = ()) -> DataFrame:
     return df.groupBy(*by, bin_.alias("bin")).agg(F.count(F.lit(1)).alias("n")).where("bin is not null")
 

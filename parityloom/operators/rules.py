@@ -65,6 +65,43 @@ def repeated_keys(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
+def dependency(df: DataFrame, determinant: Sequence[str], dependent: str) -> DataFrame:
+    """(determinant, n_rows, n_values, low, high): the groups where a column that should depend on others has several values.
+
+    A null is a value like any other. Values are counted before groups are, so a large group is
+    one row for each of its values.
+    """
+    values = df.groupBy(*determinant, dependent).agg(F.count(F.lit(1)).alias("c"))
+    text = F.col(dependent).cast("string")
+    got = values.groupBy(*determinant).agg(F.sum("c").alias("n_rows"), F.count(F.lit(1)).alias("n_values"), F.min(text).alias("low"), F.max(text).alias("high"))
+    return got.where("n_values > 1")
+
+
+def contradictions(df: DataFrame, determinant: Sequence[str], dependent: str) -> DataFrame:
+    """The rows whose value is not the most frequent of their group (ties: the smallest), with that value as usual."""
+    values = df.groupBy(*determinant, dependent).agg(F.count(F.lit(1)).alias("c"))
+    best = values.groupBy(*determinant).agg(F.min(F.struct((-F.col("c")).alias("m"), F.col(dependent).isNull().alias("null_"), F.col(dependent).alias("value"))).alias("b"), F.count(F.lit(1)).alias("kinds_")).where("kinds_ > 1")
+    same = [F.col(f"d.{k}").eqNullSafe(F.col(f"b.{k}")) for k in determinant]
+    met = df.alias("d").join(best.alias("b"), same)
+    return met.where(~F.col(f"d.{dependent}").eqNullSafe(F.col("b.b.value"))).select("d.*", F.col("b.b.value").alias("usual"))
+
+
+def dangling(df: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
+    """(key, n_rows): references that the parent table lacks; a null is none. References are counted before they are looked up."""
+    used = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+    return used.join(parent.select(F.col(parent_key).alias(key)), key, "left_anti")
+
+
+def childless(parent: DataFrame, parent_key: str, df: DataFrame, key: str) -> DataFrame:
+    """(parent_key) that no row refers to."""
+    return parent.select(parent_key).distinct().join(df.select(F.col(key).alias(parent_key)), parent_key, "left_anti")
+
+
+def repeated_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(columns, n): rows that are equal in all of them."""
+    return repeated_keys(df, *columns)
+
+
 def coverage(df: DataFrame, group: str, kind: str, least: dict[str, int]) -> DataFrame:
     """(group, kind, n, least) where a group has too few rows of a kind."""
     wanted = df.sparkSession.createDataFrame(list(least.items()), f"{kind} string, least int")

@@ -55,9 +55,11 @@ def run_all(df: DataFrame, name: str, mode: str = "complete", checkpoint: str |
     return df.sparkSession.table(name)
 
 
-def to_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", by: Sequence[str] = ()) -> StreamingQuery:
-    """Exactly once into files; a restart goes on where the checkpoint says."""
-    return df.writeStream.format(fmt).option("checkpointLocation", checkpoint).partitionBy(*by).outputMode("append").trigger(availableNow=True).start(path)
+def to_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", by: Sequence[str] = (), once: bool = False) -> StreamingQuery:
+    """Exactly once into files; a restart goes on where the checkpoint says. once takes all in one batch: state with
+    processing time has another batch to run for ever, so all there is now would never end."""
+    writer = df.writeStream.format(fmt).option("checkpointLocation", checkpoint).partitionBy(*by).outputMode("append")
+    return (writer.trigger(once=True) if once else writer.trigger(availableNow=True)).start(path)
 
 
 def each_batch(df: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
