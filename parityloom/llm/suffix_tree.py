@@ -37,7 +37,7 @@ from .common import forget, numbered, saved, shuffle_width, small_batches, unuse
 
 ALPHA, K, LEAST_COUNT, LEAST_CONTEXT, LEAST_GAIN = 0.1, 2.0, 2, 12, 2.0
 #: Most words that go to all tasks, bits of a filter, tokens of a block, and of a lane at 6 bytes each.
-HEAVY, FILTER, BLOCK, LANE, TOKEN = 1 << 17, 1 << 22, 2_000_000, 3_000_000, 6
+HEAVY, FILTER, BLOCK, LANE, TOKEN = 1 << 17, 1 << 22, 1_000_000, 2_000_000, 6
 #: What stands before a text, two places before it, and tells keys of the four kinds of rows apart.
 BEGIN, NONE = 0x5BD1E9955BD1E995, 0
 PAIR, TRIPLE, ONE, TWO = 0x1B873593CC9E2D51, 0x2127599BF4325C37, 0x4CF5AD432745937F, 0x38495AB569CC5DF1
@@ -230,8 +230,11 @@ def counted(rows: DataFrame, lanes: int, contexts: np.ndarray | None = None) ->
             got = unpacked(blob.as_py())
             parts.append((*np.split(got["words"][got["code"]], 3), got["n"].astype(np.int64)))
         t, u, w, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-        _, first, which = np.unique(keys(TRIPLE, t, u, w), return_index=True, return_inverse=True)
-        n = np.bincount(which, n).astype(np.int64)
+        del parts
+        k = keys(TRIPLE, t, u, w)
+        order = np.argsort(k)
+        new = np.flatnonzero(np.append(True, k[order][1:] != k[order][:-1]))
+        n, first = np.add.reduceat(n[order], new), order[new]
         t, u, w = t[first], u[first], w[first]
         often = (n >= LEAST_COUNT) | (u == NONE)
         return pa.table({"t": t[often], "u": u[often], "w": w[often], "n": n[often]})
