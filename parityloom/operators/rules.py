@@ -80,10 +80,10 @@ def dependency(df: DataFrame, determinant: Sequence[str], dependent: str) -> Dat
 def contradictions(df: DataFrame, determinant: Sequence[str], dependent: str) -> DataFrame:
     """The rows whose value is not the most frequent of their group (ties: the smallest), with that value as usual."""
     values = df.groupBy(*determinant, dependent).agg(F.count(F.lit(1)).alias("c"))
-    best = values.groupBy(*determinant).agg(F.min(F.struct((-F.col("c")).alias("m"), F.col(dependent).isNull().alias("null_"), F.col(dependent).alias("value"))).alias("b"), F.count(F.lit(1)).alias("kinds_")).where("kinds_ > 1")
+    best = values.groupBy(*determinant).agg(F.min(F.struct((-F.col("c")).alias("m"), F.col(dependent).isNull().alias("null_"), F.col(dependent).alias("value"))).alias("best_"), F.count(F.lit(1)).alias("kinds_")).where("kinds_ > 1")
     same = [F.col(f"d.{k}").eqNullSafe(F.col(f"b.{k}")) for k in determinant]
     met = df.alias("d").join(best.alias("b"), same)
-    return met.where(~F.col(f"d.{dependent}").eqNullSafe(F.col("b.b.value"))).select("d.*", F.col("b.b.value").alias("usual"))
+    return met.where(~F.col(f"d.{dependent}").eqNullSafe(F.col("b.best_.value"))).select("d.*", F.col("b.best_.value").alias("usual"))
 
 
 def dangling(df: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
