@@ -123,6 +123,15 @@ def blocks(page: str) -> tuple[list[Block], list[int]]:
     silent = ""
     size = len(page)
     lower = None
+    ahead: dict[str, int] = {}
+
+    def find(what: str) -> int:
+        """The next place of what, from at on; the page is searched for it once in all."""
+        there = ahead.get(what, 0)
+        if 0 <= there < at or what not in ahead:
+            there = ahead[what] = lower.find(what, at)
+        return there
+
     while at < size:
         m = _TOKEN.search(page, at)
         start = m.start() if m else size
@@ -150,9 +159,9 @@ def blocks(page: str) -> tuple[list[Block], list[int]]:
             if tag in BLOCK or tag == "head":
                 flush()
             lower = lower or page.lower()
-            end = lower.find(f"</{silent}", at)
+            end = find(f"</{silent}")
             if tag == "head":  # a head without its end tag is left at the body
-                body = lower.find("<body", at)
+                body = find("<body")
                 end = min((x for x in (end, body) if x >= 0), default=-1)
                 if end >= 0 and end == body:
                     at = body

@@ -24,6 +24,9 @@ def test_broken_and_long_pages_end():
     many = "<p>A block of some words, with a full stop.</p>" * 50_000 + "<nav>" + "<a>x</a><br>" * 50_000 + "</nav>"
     assert within(40, html_text.main_text, many).count("\n") == 49_999
     within(20, html_text.main_text, "<b>" * 50_000 + "</i></div>" * 50_000)
+    for tag in ("<svg><p>x", "<select>", "<head><body>x", "<object><canvas>", "<script>"):
+        within(8, html_text.main_text, tag * 100_000)
+    assert html_text.main_text("<svg>" + "<p>Text after it, with a full stop.</p>" * 3).count("Text") == 3
 
 
 def cut_cost(labels, logits, edges):
