@@ -6,15 +6,18 @@ rotated vector. A query looks into the buckets of its PROBES nearest signed axes
 in each of TABLES tables, GROWTH times as many with each doubling of the dimensions
 beyond 64; all vectors there are compared exactly. Tables of all sizes are searched alike.
 
-Equal vectors are compared once: of each, the k + 1 smallest ids are carried, and
+A query that met fewer than k others there is compared with all vectors, so it has k neighbours
+wherever there are so many.
+
+Equal vectors are compared once: of each, the k + 1 smallest ids are carried, repeats included, and
 no other copy can be among the k nearest. Buckets are dealt out in blocks of
 vectors and of queries whose numbers follow the counted sizes, so no task holds
 more than one block of each.
 
 Vectors that are null, zero or hold null or non-finite components take no part.
 Null ids take no part either. Only vectors of one length are compared. Ties go to
-the smaller id; a repeated id is a candidate as often as it has different
-vectors. An empty table gives no rows. Other columns are ignored.
+the smaller id. Every row but the query's own is a candidate, one of the same id or of the same id and vector too; of
+repeated query rows each has its ranks. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,8 +38,9 @@ GROWTH = 2.6
 VECTORS, QUERIES = 4_096, 512
 #: Beyond the k nearest of a block, those so close to the last that rounding could matter.
 MARGIN = 1e-9
-HASHED = "dim int, t int, bucket int, id long, ids array<bigint>, v array<double>"
-PART = "query_id long, vec_id long, score double"
+HASHED = "dim int, t int, bucket int, id long, key long, ids array<bigint>, v array<double>"
+PART = "query_id long, qkey long, key long, n int, vec_id long, score double"
+BUCKET = ["dim", "t", "bucket"]
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -74,11 +78,11 @@ def probes_of(dim: int, probes: int = PROBES) -> int:
 
 
 def _hashed(rows: DataFrame, tables: int, probes: int | None) -> DataFrame:
-    """One row for each table and probe of (id, ids, v); without probes, for the nearest axis alone."""
+    """One row for each table and probe of (id, key, ids, v); without probes, for the nearest axis alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, lists, vectors = b.column(0).to_numpy(zero_copy_only=False), b.column(1), [np.array(v) for v in b.column(2).to_pylist()]
+            ids, key, lists, vectors = b.column(0), b.column(1), b.column(2), [np.array(v) for v in b.column(3).to_pylist()]
             for dim in sorted({len(v) for v in vectors}):
                 at = np.array([i for i, v in enumerate(vectors) if len(v) == dim])
                 x = np.stack([vectors[i] for i in at])
@@ -89,11 +93,11 @@ def _hashed(rows: DataFrame, tables: int, probes: int | None) -> DataFrame:
                     who = np.repeat(at, got.shape[1])
                     take = pa.array(who)
                     yield pa.record_batch(
-                        [pa.array(np.full(len(who), dim, np.int32)), pa.array(np.full(len(who), t, np.int32)), pa.array(got.ravel().astype(np.int32)), pa.array(ids[who]), lists.take(take), b.column(2).take(take)],
-                        ["dim", "t", "bucket", "id", "ids", "v"],
+                        [pa.array(np.full(len(who), dim, np.int32)), pa.array(np.full(len(who), t, np.int32)), pa.array(got.ravel().astype(np.int32)), ids.take(take), key.take(take), lists.take(take), b.column(3).take(take)],
+                        [*BUCKET, "id", "key", "ids", "v"],
                     )
 
-    return rows.select("id", "ids", "v").mapInArrow(run, HASHED)
+    return rows.select("id", "key", "ids", "v").mapInArrow(run, HASHED)
 
 
 def valid(v: Column) -> Column:
@@ -101,28 +105,20 @@ def valid(v: Column) -> Column:
     return v.isNotNull() & F.coalesce(fine, F.lit(False)) & F.exists(v, lambda x: x != 0)
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 5, tables: int = TABLES, probes: int = PROBES, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest found of each query; is_query speaks of id."""
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v")).where(F.col("id").isNotNull() & valid(F.col("v")))
-    copies = Window.partitionBy("v").orderBy("id")
-    few = rows.distinct().withColumn("n", F.row_number().over(copies)).where(F.col("n") <= k + 1)
-    distinct = saved(few.groupBy("v").agg(F.array_sort(F.collect_list("id")).alias("ids")).withColumn("id", F.col("ids")[0]), "vectors")
-    queries = rows.where(is_query).distinct().withColumn("ids", F.array("id"))
-    index = saved(_hashed(distinct, tables, None), "index")
-    probed = saved(_hashed(queries, tables, probes), "probes")
-    bucket = ["dim", "t", "bucket"]
-    sizes = index.groupBy(bucket).count().withColumn("blocks", F.ceil(F.col("count") / VECTORS).cast("int")).drop("count")
-    wide = probed.groupBy(bucket).count().withColumn("lots", F.ceil(F.col("count") / QUERIES).cast("int")).drop("count")
-    both = saved(sizes.join(wide, bucket), "buckets")  # one row a table and axis
+def _met(index: DataFrame, probed: DataFrame, k: int) -> DataFrame:
+    """The k + 1 nearest of each query in each block of its buckets, one row an id, as PART says."""
+    sizes = index.groupBy(BUCKET).count().withColumn("blocks", F.ceil(F.col("count") / VECTORS).cast("int")).drop("count")
+    wide = probed.groupBy(BUCKET).count().withColumn("lots", F.ceil(F.col("count") / QUERIES).cast("int")).drop("count")
+    both = saved(sizes.join(wide, BUCKET), "buckets")  # one row a table and axis
     of = lambda key, n: F.pmod(F.xxhash64(key), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = index.join(F.broadcast(both), bucket).withColumn("block", of("v", "blocks")).withColumn("lot", every("lots"))
-    right = probed.join(F.broadcast(both), bucket).withColumn("lot", of("id", "lots")).withColumn("block", every("blocks"))
-    group = [*bucket, "block", "lot"]
+    left = index.join(F.broadcast(both), BUCKET).withColumn("block", of("v", "blocks")).withColumn("lot", every("lots"))
+    right = probed.join(F.broadcast(both), BUCKET).withColumn("lot", of("id", "lots")).withColumn("block", every("blocks"))
+    group = [*BUCKET, "block", "lot"]
 
     def search(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            return pd.DataFrame({c.split()[0]: [] for c in PART.split(", ")})
         x, q = np.stack(a["v"].to_numpy()), np.stack(b["v"].to_numpy())
         xs, qs = (m / np.abs(m).max(1, keepdims=True) for m in (x, q))
         xn, qn = (m / np.linalg.norm(m, axis=1, keepdims=True) for m in (xs, qs))
@@ -131,11 +127,38 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, tables: int = TABL
         last = np.partition(rough, -keep, axis=1)[:, -keep]
         i, j = np.nonzero(rough >= (last - MARGIN)[:, None])
         score = np.sum(qs[i] * xs[j], axis=1) / (np.sqrt(np.sum(qs[i] ** 2, axis=1)) * np.sqrt(np.sum(xs[j] ** 2, axis=1)))
-        ids, owner = a["ids"].to_numpy(), b["id"].to_numpy()
+        ids, owner, key, qkey = a["ids"].to_numpy(), b["id"].to_numpy(), a["key"].to_numpy(), b["key"].to_numpy()
         n = np.array([len(ids[c]) for c in j])
-        return pd.DataFrame({"query_id": np.repeat(owner[i], n), "vec_id": np.concatenate([np.asarray(ids[c], np.int64) for c in j]), "score": np.repeat(score, n)})
+        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        out = pd.DataFrame({"query_id": np.repeat(owner[i], n), "qkey": np.repeat(qkey[i], n), "key": np.repeat(key[j], n), "n": place, "vec_id": np.concatenate([np.asarray(ids[c], np.int64) for c in j]), "score": np.repeat(score, n)})
+        # of the query's own vector, one row of its own id is the query
+        own = (out["key"] == out["qkey"]) & (out["vec_id"] == out["query_id"])
+        return out[~(own & ~out[own].duplicated(["query_id", "qkey"]).reindex(out.index, fill_value=True))]
+
+    return left.select(*group, "ids", "key", "v").groupBy(group).cogroup(right.select(*group, "id", "key", "v").groupBy(group)).applyInPandas(search, PART)
 
-    found = left.select(*group, "ids", "v").groupBy(group).cogroup(right.select(*group, "id", "v").groupBy(group)).applyInPandas(search, PART)
-    once = found.where("query_id <> vec_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return once.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+def nearest(vectors: DataFrame, is_query: Column, k: int = 5, tables: int = TABLES, probes: int = PROBES, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+    """(query_id, rank, vec_id, score): the k nearest found of each query; is_query speaks of id."""
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v")).where(F.col("id").isNotNull() & valid(F.col("v")))
+    # one number for equal vectors; 0.0 and -0.0 are equal
+    rows = rows.withColumn("v", F.transform("v", lambda x: x + F.lit(0.0))).withColumn("key", F.xxhash64("v"))
+    copies = Window.partitionBy("v").orderBy("id")
+    few = rows.withColumn("n", F.row_number().over(copies)).where(F.col("n") <= k + 1)
+    distinct = saved(few.groupBy("v", "key").agg(F.array_sort(F.collect_list("id")).alias("ids")).withColumn("id", F.col("ids")[0]), "vectors")
+    queries = saved(rows.where(is_query).groupBy("id", "v", "key").agg(F.count(F.lit(1)).alias("times")).withColumn("ids", F.array("id")), "queries")
+    index = saved(_hashed(distinct, tables, None), "index")
+    probed = saved(_hashed(queries, tables, probes), "probes")
+    pair = ["query_id", "qkey", "key", "n", "vec_id"]
+    once = saved(_met(index, probed, k).groupBy(pair).agg(F.max("score").alias("score")), "met")
+    # queries with fewer than k are tried on all vectors, block by block
+    enough = once.groupBy("query_id", "qkey").count().where(F.col("count") >= k).select(F.col("query_id").alias("id"), F.col("qkey").alias("key"))
+    whole = lambda df: df.select(F.size("v").alias("dim"), F.lit(-1).alias("t"), F.lit(0).alias("bucket"), "id", "key", "ids", "v")
+    short = saved(queries.join(enough, ["id", "key"], "left_anti"), "short")
+    if not short.isEmpty():
+        once = once.unionByName(_met(whole(distinct), whole(short), k)).groupBy(pair).agg(F.max("score").alias("score"))
+    order = Window.partitionBy("query_id", "qkey").orderBy(F.desc("score"), "vec_id")
+    best = once.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k)
+    times = queries.where("times > 1").select(F.col("id").alias("query_id"), F.col("key").alias("qkey"), "times")
+    again = best.join(times, ["query_id", "qkey"], "left").withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.coalesce("times", F.lit(1)))))
+    return again.select("query_id", "rank", "vec_id", "score")
