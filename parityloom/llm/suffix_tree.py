@@ -29,6 +29,7 @@ import io
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -133,19 +134,22 @@ def keys(kind: int, *words: np.ndarray) -> np.ndarray:
 
 
 def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
-    """(rows, d, t, u, w) of some million tokens each: row numbers, then each token's place in them, and it and the two before it."""
+    """(rows, d, known, t, u, w) of some million tokens each: row numbers and each token's place in them; hashes, and each
+    token's place and that of the two before it in them."""
     held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     size = 0
 
     def out() -> tuple[np.ndarray, ...]:
-        rows, lengths, w = (np.concatenate([h[i] for h in held]) for i in range(3))
+        rows, lengths, flat = (np.concatenate([h[i] for h in held]) for i in range(3))
+        code, words = pd.factorize(flat)
+        known = np.concatenate([np.array([NONE, BEGIN], np.int64), words])
+        w = code.astype(np.int32) + 2
         starts = np.cumsum(lengths) - lengths
         u, t = np.empty_like(w), np.empty_like(w)
         u[1:], t[2:] = w[:-1], w[:-2]
-        second = starts[lengths > 1] + 1
-        t[second] = BEGIN
-        u[starts], t[starts] = BEGIN, NONE
-        return rows, np.repeat(np.arange(len(rows)), lengths), t, u, w
+        t[starts[lengths > 1] + 1] = 1
+        u[starts], t[starts] = 1, 0
+        return rows, np.repeat(np.arange(len(rows), dtype=np.int32), lengths), known, t, u, w
 
     for b in batches:
         if len(b):
@@ -189,19 +193,35 @@ def unpacked(blob: bytes) -> dict[str, np.ndarray]:
     return dict(np.load(io.BytesIO(zstandard.decompress(blob))))
 
 
-def _codes(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    known, code = np.unique(x, return_inverse=True)
-    return known, code.astype(np.min_scalar_type(max(1, len(known))))
-
-
-def _lanes(lane: np.ndarray, lanes: int, *within: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Each lane that occurs with its places, in order of within."""
-    order = np.lexsort((*within, lane))
+def _lanes(lane: np.ndarray, lanes: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each lane that occurs with its places, in order."""
+    lane = lane.astype(np.min_scalar_type(lanes))
+    order = np.argsort(lane, kind="stable")
     ends = np.searchsorted(lane[order], np.arange(lanes + 1))
     for i in np.flatnonzero(np.diff(ends)):
         yield int(i), order[ends[i] : ends[i + 1]]
 
 
+def _coded(size: int, *codes: np.ndarray, first: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Which of so many words occur, those of first before the others and in its order, and the codes as places in them."""
+    used = np.zeros(size, bool)
+    for c in codes:
+        used[c] = True
+    at = np.flatnonzero(used)
+    if first is not None:
+        at = np.concatenate([first[used[first]], at[~np.isin(at, first, assume_unique=True)]])
+    rank = np.empty(size, np.int32)
+    rank[at] = np.arange(len(at))
+    return at, np.concatenate([rank[c] for c in codes]).astype(np.min_scalar_type(max(1, len(at))))
+
+
+def _counts(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different values in order, and how often each occurs."""
+    code, values = pd.factorize(x)
+    order = np.argsort(values)
+    return values[order], np.bincount(code, minlength=len(values))[order]
+
+
 def _chunk(lane: int, **arrays: np.ndarray) -> pa.RecordBatch:
     return pa.record_batch([pa.array([lane]), pa.array([packed(**arrays)], pa.binary())], ["lane", "blob"])
 
@@ -210,19 +230,23 @@ def counted(rows: DataFrame, lanes: int, contexts: np.ndarray | None = None) ->
     """(t, u, w, n): how often tokens (t, u none), pairs (t none) or, with a filter of contexts (t, u), triples occur; the latter two if LEAST_COUNT times."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, t, u, w in blocks(batches):
-            if contexts is not None:
-                some = (t != NONE) & _within(contexts, keys(TWO, t, u))
-                grams = [(t[some], u[some], w[some])]
+        for _, _, known, t, u, w in blocks(batches):
+            k = len(known)
+            if contexts is None:
+                one, n = _counts(w)
+                none = np.zeros(len(one), np.int64)
+                pairs, m = _counts(u.astype(np.int64) * k + w)
+                grams = [(none, none, one, n), (np.zeros(len(pairs), np.int64), pairs // k, pairs % k, m)]
             else:
-                none = np.full(len(w), NONE)
-                grams = [(none, none, w), (none, u, w)]
-            for gram in grams:
-                k, first, n = np.unique(keys(TRIPLE, *gram), return_index=True, return_counts=True)
-                gram = [x[first] for x in gram]
-                for lane, part in _lanes(k % lanes, lanes, gram[2], gram[1]):
-                    known, code = _codes(np.concatenate([x[part] for x in gram]))
-                    yield _chunk(lane, words=known, code=code, n=n[part].astype(np.min_scalar_type(int(n.max()))))
+                some = (t != 0) & _within(contexts, keys(TWO, known[t], known[u]))
+                code, before = pd.factorize(t[some].astype(np.int64) * k + u[some])
+                found, n = _counts(code * k + w[some])
+                before = before[found // k]
+                grams = [(before // k, before % k, found % k, n)]
+            for *gram, n in grams:
+                for lane, part in _lanes(keys(TRIPLE, *[known[x] for x in gram]) % lanes, lanes):
+                    at, code = _coded(k, *[x[part] for x in gram])
+                    yield _chunk(lane, words=known[at], code=code, n=n[part].astype(np.min_scalar_type(int(n.max()))))
 
     def add(found: pa.Table) -> pa.Table:
         parts = []
@@ -284,23 +308,28 @@ def learnt(rows: DataFrame, grams: DataFrame, docs: int, p0: Callable[[str], Col
     return tree, ones, twos
 
 
-def over_root(rows: DataFrame, tree: DataFrame, ones: np.ndarray, twos: np.ndarray, hot: dict[int, int], lanes: int) -> DataFrame:
-    """(row, x): sums of what the states add to the root's logarithms of a row's tokens; hot has the number of lanes of words before very many."""
+def over_root(rows: DataFrame, tree: DataFrame, ones: np.ndarray, twos: np.ndarray, hot: dict[int, int], lanes: int, common: np.ndarray) -> DataFrame:
+    """(row, x): sums of what the states add to the root's logarithms of a row's tokens; hot has the number of lanes of words before
+    very many, and common the hashes, in order, of words that are sent as numbers."""
     hot_words, hot_parts = (np.array(x, np.int64) for x in (sorted(hot), [hot[w] for w in sorted(hot)]))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows_, d, t, u, w in blocks(batches):
-            some = _within(ones, keys(ONE, u))
+        for rows_, d, known, t, u, w in blocks(batches):
+            at = np.minimum(np.searchsorted(common, known), max(0, len(common) - 1))
+            first = np.flatnonzero(common[at] == known) if len(common) else np.zeros(0, np.int64)
+            first = first[np.argsort(at[first])]
+            some = _within(ones, keys(ONE, known))[u]
             d, t, u, w = d[some], t[some], u[some], w[some]
-            t[~_within(twos, keys(TWO, t, u))] = NONE
-            lane = u % lanes
+            t[~_within(twos, keys(TWO, known[t], known[u]))] = 0
+            lane = known % lanes
             if len(hot_words):
-                at = np.minimum(np.searchsorted(hot_words, u), len(hot_words) - 1)
-                lane = np.where(hot_words[at] == u, (lane + int(rows_[0]) % hot_parts[at]) % lanes, lane)
-            for i, part in _lanes(lane, lanes, u):
-                known, code = _codes(np.concatenate([t[part], u[part], w[part]]))
-                whose, who = _codes(rows_[d[part]])
-                yield _chunk(i, rows=whose, d=who, words=known, code=code)
+                of = np.minimum(np.searchsorted(hot_words, known), len(hot_words) - 1)
+                lane = np.where(hot_words[of] == known, (lane + int(rows_[0]) % hot_parts[of]) % lanes, lane)
+            for i, part in _lanes(lane[u], lanes):
+                words, code = _coded(len(known), t[part], u[part], w[part], first=first)
+                n = np.count_nonzero(np.isin(words, first, assume_unique=True))
+                whose, who = _coded(len(rows_), d[part])
+                yield _chunk(i, rows=rows_[whose], d=who, common=np.diff(at[words[:n]], prepend=0).astype(np.uint32), words=known[words[n:]], code=code)
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         order = np.argsort(right["key"].to_numpy())
@@ -313,7 +342,7 @@ def over_root(rows: DataFrame, tree: DataFrame, ones: np.ndarray, twos: np.ndarr
         out: list[tuple[np.ndarray, np.ndarray]] = []
         for blob in left["blob"] if len(k) else []:
             got = unpacked(blob.as_py())
-            t, u, w = np.split(got["words"][got["code"]], 3)
+            t, u, w = np.split(np.concatenate([common[np.cumsum(got["common"])], got["words"]])[got["code"]], 3)
             kept, pen = find(keys(ONE, u))
             hit, gain = find(keys(PAIR, u, w))
             x = np.where(kept, np.where(hit, gain, pen), 0.0)
@@ -332,23 +361,20 @@ def over_root(rows: DataFrame, tree: DataFrame, ones: np.ndarray, twos: np.ndarr
     return chunks.groupBy("lane").cogroup(spread.select("lane", "key", "value").groupBy("lane")).applyInArrow(score, "row long, x double").groupBy("row").agg(F.sum("x").alias("x"))
 
 
-def based(rows: DataFrame, words: DataFrame, total: int) -> DataFrame:
-    """(row, n, known, x): tokens, those known, and the sum of log10(c + ALPHA)."""
-    heavy = words.where(F.col("c") > total / HEAVY).toArrow()
-    order = np.argsort(heavy["h"].to_numpy())
-    h_, x_ = heavy["h"].to_numpy()[order], np.log10(heavy["c"].to_numpy()[order] + ALPHA)
+def based(rows: DataFrame, words: DataFrame, common: pa.Table) -> DataFrame:
+    """(row, n, known, x): tokens, those known, and the sum of log10(c + ALPHA); common has the most frequent words in order."""
+    h_, x_ = common["h"].to_numpy(), np.log10(common["c"].to_numpy() + ALPHA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows_, d, _, _, w in blocks(batches):
-            at = np.minimum(np.searchsorted(h_, w), max(0, len(h_) - 1))
-            hit = h_[at] == w if len(h_) else np.zeros(len(w), bool)
-            sums = [np.bincount(d, minlength=len(rows_)), np.bincount(d[hit], minlength=len(rows_)), np.bincount(d[hit], x_[at[hit]], len(rows_))]
+        for rows_, d, words_, _, _, w in blocks(batches):
+            at = np.minimum(np.searchsorted(h_, words_), max(0, len(h_) - 1))
+            there = h_[at] == words_ if len(h_) else np.zeros(len(words_), bool)
+            hit = there[w]
+            sums = [np.bincount(d, minlength=len(rows_)), np.bincount(d[hit], minlength=len(rows_)), np.bincount(d[hit], x_[at[w[hit]]], len(rows_))]
             # row numbers in place of hashes: they meet no word, or one that is not looked at
             yield pa.record_batch([pa.array(rows_), pa.array(rows_), *[pa.array(s.astype(c)) for s, c in zip(sums, (np.int64, np.int64, float), strict=True)]], ["row", "h", "n", "known", "x"])
-            far = ~hit
-            (_, code), w = _codes(w[far]), w[far]
-            _, first, n = np.unique(d[far].astype(np.int64) << 32 | code, return_index=True, return_counts=True)
-            yield pa.record_batch([pa.array(rows_[d[far][first]]), pa.array(w[first]), pa.array(n.astype(np.int64)), pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.float64())], ["row", "h", "n", "known", "x"])
+            found, n = _counts(d[~hit].astype(np.int64) * len(words_) + w[~hit])
+            yield pa.record_batch([pa.array(rows_[found // len(words_)]), pa.array(words_[found % len(words_)]), pa.array(n.astype(np.int64)), pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.float64())], ["row", "h", "n", "known", "x"])
 
     each = rows.mapInArrow(run, SCORED)
     met = each.join(words, "h", "left")
@@ -378,8 +404,12 @@ def scored(docs: DataFrame, train: Column, least: int = LEAST_CONTEXT, gain: flo
     tree, ones, twos = learnt(learning, grams, rows, lambda c: (F.col(c) + ALPHA) / down, lanes, least, gain, k)
     many = words.where(F.col("c") * lanes > 2 * F.lit(total)).collect()  # at most half as many as lanes
     hot = {r["h"]: -(-r["c"] * lanes // total) for r in many} | ({BEGIN: -(-rows * lanes // total)} if rows * lanes > 2 * total else {})
-    base = based(every, words, total)
-    more = over_root(every, tree, ones, twos, hot, lanes)
+    common = words.orderBy(F.desc("c"), "h").limit(HEAVY).toArrow().sort_by("h")
+    # one after the other, so that only one of them is shuffled at a time
+    base = saved(based(every, words, common), "base")
+    forget(grams)
+    more = saved(over_root(every, tree, ones, twos, hot, lanes, common["h"].to_numpy()), "more")
+    forget(tree)
     got = base.join(more.withColumnRenamed("x", "more"), "row", "left")
     b = F.col("x") - F.col("n") * F.lit(float(np.log10(down)))
     out = got.select(F.col("row").alias(row), F.col("n").alias("n_tokens"), F.col("known").alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"), b.alias("base_score"), (b + F.coalesce("more", F.lit(0.0))).alias("score"))
