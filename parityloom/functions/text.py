@@ -5,13 +5,12 @@ A null text is read as an empty one unless a function says otherwise.
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Callable, Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+
+from .fold import decomposed
 
 WORD = r"[\p{L}\p{M}\p{N}_]+"
 # Opening moves by anchored pattern, categories and trait words by keyword, words that name a trait.
@@ -141,14 +140,13 @@ def normalise(text: Column) -> Column:
 
 def normalise_place(text: Column) -> Column:
     """Without marks, points and commas, white space squeezed, and the word for municipality shortened, also before a name."""
-    short = F.regexp_replace(F.trim(fold_marks(text)), r"\b(?:municipiul|municipiu)\b", "mun")
+    short = F.regexp_replace(F.trim(nfkd(F.coalesce(text, F.lit("")))), r"\b(?:municipiul|municipiu)\b", "mun")
     return F.regexp_replace(F.regexp_replace(F.regexp_replace(short, r"\bmun\.\s*", "mun "), "[.,]", ""), r"\s+", " ")
 
 
-@F.pandas_udf(StringType())
-def nfkd(text: pd.Series) -> pd.Series:
-    """Compatibility decomposition without combining marks; Spark has no such function."""
-    return text.map(lambda t: None if t is None else "".join(c for c in unicodedata.normalize("NFKD", t.lower()) if not unicodedata.combining(c)))
+def nfkd(text: Column) -> Column:
+    """Lower case, compatibility decomposition, no combining marks."""
+    return decomposed(F.lower(text))
 
 
 # What stands in the label of a total.
@@ -235,8 +233,9 @@ def listed_keywords(text: Column, words: Sequence[str], most: int = 8) -> Column
 
 
 def opening_words(text: Column, n: int = 8) -> Column:
-    """The first n words but the leading name."""
-    return F.array_join(F.slice(F.split(F.trim(lower(text)), r"\s+"), 2, n - 1), " ")
+    """The first n words but a leading one of letters, which may be a name; a word alone stays."""
+    words = F.filter(F.split(lower(text), r"\s+"), lambda w: w != "")
+    return F.regexp_replace(F.array_join(F.slice(words, 1, n), " "), r"^[a-zăâîșț]+\s+", "")
 
 
 def friction(text: Column, markers: Sequence[str]) -> Column:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.math import adaptive_tolerance, chi2_p
-from .common import saved
+from .common import saved, small
 from .profile import joint, running
 
 
@@ -30,7 +30,7 @@ def distances(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def smoothed_divergence(pairs: DataFrame, by: Sequence[str] = (), eps: float = 1e-10) -> DataFrame:
     """KL and JS in nats, with eps added to every share before they are normalised again."""
     totals = pairs.groupBy(*by).agg(F.sum(F.col("p") + eps).alias("tp"), F.sum(F.col("q") + eps).alias("tq"))
-    both = pairs.join(F.broadcast(totals), list(by)) if by else pairs.crossJoin(F.broadcast(totals))
+    both = pairs.join(small(totals), list(by)) if by else pairs.crossJoin(F.broadcast(totals))
     both = both.select(*by, ((F.col("p") + eps) / F.col("tp")).alias("p"), ((F.col("q") + eps) / F.col("tq")).alias("q"))
     m = (F.col("p") + F.col("q")) / 2
     kl = F.col("p") * F.log(F.col("p") / F.col("q"))
@@ -42,7 +42,7 @@ def chi_square(counts: DataFrame, target: DataFrame, by: Sequence[str] = (), lea
     """(statistic, df, p_value) of counts (category, n) against shares (category, p); cells with less than `least` expected are left out."""
     keys = [*by, "category"]
     total = counts.groupBy(*by).agg(F.sum("n").alias("total"))
-    both = target.join(F.broadcast(total), list(by)) if by else target.crossJoin(F.broadcast(total))
+    both = target.join(small(total), list(by)) if by else target.crossJoin(F.broadcast(total))
     cells = both.withColumn("e", F.col("p") * F.col("total")).where(F.col("e") >= least).join(counts.select(*keys, "n"), keys, "left")
     gap = F.coalesce("n", F.lit(0)) - F.col("e")
     out = cells.groupBy(*by).agg(F.coalesce(F.sum(gap * gap / F.col("e")), F.lit(0.0)).alias("statistic"), F.greatest(F.count(F.lit(1)) - 1, F.lit(0)).alias("df"))
@@ -138,6 +138,40 @@ def collapsed(df: DataFrame, value: str, least_std: float, by: Sequence[str] = (
     return got.withColumn("collapsed", F.coalesce(F.col("std") < least_std, F.lit(True)))
 
 
+def normal_cdf(z: Column) -> Column:
+    """The normal law's distribution function by a polynomial for the error function; off by less than 1e-7."""
+    x = F.abs(z) / F.lit(2**0.5)
+    t = 1 / (1 + 0.3275911 * x)
+    tail = ((((1.061405429 * t - 1.453152027) * t + 1.421413741) * t - 0.284496736) * t + 0.254829592) * t * F.exp(-x * x) / 2
+    return F.when(z >= 0, 1 - tail).otherwise(tail)
+
+
+def against_normal(df: DataFrame, value: str, by: Sequence[str], low: float, high: float, bins: int, mean: float | None = None, std: float | None = None, least_variance: float = 100.0) -> DataFrame:
+    """(by, n, mean, std, kl, js, max_error, mean_error, collapsed): each group's histogram against a normal law of its own mean and deviation, or of given ones.
+
+    Shares of the bins of low..high, of both, sum to one; kl is that of the law against the histogram. A group collapsed if its
+    variance is below the least; without any variance there is no law, and only the counts are given.
+    """
+    rows = df.where(F.col(value).isNotNull())
+    groups = rows.groupBy(*by).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"))
+    width = (high - low) / bins
+    bin_ = F.least(F.floor((F.col(value) - low) / width), F.lit(bins - 1)).cast("int")
+    seen = rows.where(F.col(value).between(low, high)).groupBy(*by, bin_.alias("bin")).agg(F.count(F.lit(1)).alias("c"))
+    at = F.lit(mean) if mean is not None else F.col("mean")
+    wide = F.lit(std) if std is not None else F.col("std")
+    edge = lambda i: normal_cdf((F.lit(low) + width * i - at) / wide)
+    law = groups.where(wide > 0).withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1)))).select(*by, "bin", (edge(F.col("bin") + 1) - edge(F.col("bin"))).alias("mass"))
+    met = law.alias("l").join(seen.alias("s"), [*[F.col(f"l.{b}").eqNullSafe(F.col(f"s.{b}")) for b in by], F.col("l.bin") == F.col("s.bin")], "left").select("l.*", F.coalesce("s.c", F.lit(0)).alias("c"))
+    of = Window.partitionBy(*by)  # as many rows as there are bins
+    share = lambda c: F.coalesce(F.try_divide(F.col(c), F.sum(c).over(of)), F.lit(0.0))
+    pairs = saved(met.select(*by, share("mass").alias("p"), share("c").cast("double").alias("q")), "bins")
+    gap = F.abs(F.col("p") - F.col("q"))
+    errors = pairs.groupBy(*by).agg(F.max(gap).alias("max_error"), F.avg(gap).alias("mean_error"))
+    same = lambda x, y: [F.col(f"{x}.{b}").eqNullSafe(F.col(f"{y}.{b}")) for b in by]
+    got = groups.alias("g").join(smoothed_divergence(pairs, by).alias("d"), same("g", "d"), "left").join(errors.alias("e"), same("g", "e"), "left")
+    return got.select("g.*", "d.kl", "d.js", "e.max_error", "e.mean_error", (F.col("g.std") * F.col("g.std") < least_variance).alias("collapsed"))
+
+
 def required(counts: DataFrame, wanted: DataFrame) -> DataFrame:
     """(category, present, n) of the wanted categories; a test of shares fails where one is absent, whatever its p-value."""
     return wanted.join(counts.select("category", "n"), "category", "left").select("category", F.col("n").isNotNull().alias("present"), F.coalesce("n", F.lit(0)).alias("n"))

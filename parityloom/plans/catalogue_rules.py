@@ -115,12 +115,12 @@ def marker_friction(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", r6(text.friction(F.col("text"), words)).alias("friction"), F.array_join(text.listed_keywords(F.col("text"), words, 2), ",").alias("listed"))
 
 
-@query(r"""SELECT conv_id, turn, array_to_string(string_split_regex(trim(lower(coalesce(text, ''))), '\s+')[2:8], ' ') AS opening FROM conversations""")
+@query(r"""SELECT conv_id, turn, regexp_replace(array_to_string(list_filter(string_split_regex(lower(coalesce(text, '')), '\s+'), lambda x: x <> '')[1:8], ' '), '^[a-zăâîșț]+\s+', '') AS opening FROM conversations""")
 def openings(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", text.opening_words(F.col("text")).alias("opening"))
 
 
-@query(r"""WITH o AS (SELECT conv_id, array_to_string(string_split_regex(trim(lower(text)), '\s+')[2:8], ' ') AS opening FROM conversations) SELECT conv_id, opening, count(*) * 2 AS n FROM o WHERE opening <> '' GROUP BY 1, 2""")
+@query(r"""WITH o AS (SELECT conv_id, regexp_replace(array_to_string(list_filter(string_split_regex(lower(coalesce(text, '')), '\s+'), lambda x: x <> '')[1:8], ' '), '^[a-zăâîșț]+\s+', '') AS opening FROM conversations) SELECT conv_id, opening, count(*) * 2 AS n FROM o WHERE opening <> '' GROUP BY 1, 2""")
 def repeated_openings(spark, sf_dir):
     c = table(spark, sf_dir, "conversations").select("conv_id", "text", F.col("text").alias("again"))
     return quality.repeated_openings(c, "conv_id", ["text", "again"]).select("conv_id", "opening", long("n").alias("n"))
