@@ -321,10 +321,12 @@ def chi_square_gof(spark, sf_dir):
     return divergence.chi_square(counts, targets.distribution(spark, SEGMENTS)).select(r6("statistic").alias("statistic"), long("df").alias("df"))
 
 
-@query()
+# with four degrees of freedom the tail is exp(-x / 2) (1 + x / 2)
+@query(f"""WITH o AS (SELECT c_mktsegment AS category, count(*) AS n FROM customer GROUP BY 1), t AS (SELECT sum(n) AS t FROM o), j AS (SELECT coalesce(n, 0) AS n, q * t AS e FROM {SEGMENT_SQL} LEFT JOIN o USING (category), t),
+s AS (SELECT sum((n - e) ^ 2 / e) AS x, count(*) - 1 AS df FROM j WHERE e >= 5) SELECT round(x, 6) AS statistic, df, CASE WHEN df = 4 THEN round(exp(-x / 2) * (1 + x / 2), 6) END AS p_value FROM s""")
 def chi_square_p_value(spark, sf_dir):
     counts = table(spark, sf_dir, "customer").groupBy(F.col("c_mktsegment").alias("category")).agg(F.count(F.lit(1)).alias("n"))
-    return divergence.chi_square(counts, targets.distribution(spark, SEGMENTS))
+    return divergence.chi_square(counts, targets.distribution(spark, SEGMENTS)).select(r6("statistic").alias("statistic"), long("df").alias("df"), r6("p_value").alias("p_value"))
 
 
 @query("""WITH j AS (SELECT n_regionkey AS a, c_mktsegment AS b, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2), t AS (SELECT sum(n) AS t FROM j),
@@ -490,10 +492,11 @@ def theta_pairs(spark, sf_dir):
     return joins.close_pairs(table(spark, sf_dir, "part"), "p_partkey", "p_retailprice", 0.25, ["p_brand"])
 
 
-@query("SELECT o_orderkey FROM orders")
+@query("SELECT o_orderkey, CASE WHEN o_totalprice > 100000 THEN 'done' ELSE 'more' END AS origin FROM orders")
 def resume_merge(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    return joins.resumed(o.where("o_totalprice > 100000"), o, "o_orderkey").select("o_orderkey")
+    done, more = (df.select("o_orderkey", F.lit(x).alias("origin")) for df, x in ((o.where("o_totalprice > 100000"), "done"), (o, "more")))
+    return joins.resumed(done, more, "o_orderkey")
 
 
 # ---- text ----------------------------------------------------------------------------------------
@@ -730,10 +733,15 @@ def population(spark, sf_dir):
     return people.population(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id")))
 
 
-@query("SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS errors FROM orders")
+@query("""SELECT count(*) AS n_rows, count(*) FILTER (o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0) AS valid, count(*) FILTER (o_orderkey % 7 = 0) + count(*) FILTER (o_orderkey % 11 = 0) AS errors FROM orders""")
 def population_rules(spark, sf_dir):
+    """Drawn records break no rule; some are given an age too low, some a sex that is none."""
     rows = people.population(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id")))
-    return rules.summary(rows, rules.person_rules()).select(long("n_rows").alias("n_rows"), long("errors").alias("errors"))
+    young = F.col("id") % 7 == 0
+    fixed = {"age": 17, "education_level": "Primar", "marital_status": "Necăsătorit", "occupation": ""}
+    rows = rows.withColumns({k: F.when(young, F.lit(v)).otherwise(F.col(k)) for k, v in fixed.items()})
+    rows = rows.withColumn("age_group", F.when(young, scalar.age_group(F.col("age"))).otherwise(F.col("age_group"))).withColumn("sex", F.when(F.col("id") % 11 == 0, "none").otherwise(F.col("sex")))
+    return rules.summary(rows, rules.person_rules()).select(long("n_rows").alias("n_rows"), long("valid").alias("valid"), long("errors").alias("errors"))
 
 
 @query()

@@ -190,10 +190,17 @@ def bounded_map_fields(spark, sf_dir):
 # ---- targets, divergences, draws -----------------------------------------------------------------
 
 
-@query("SELECT 'a' AS dist, x AS category, 0 AS priority FROM (VALUES ('p'), ('q')) t(x) UNION ALL SELECT 'b', 'r', 1")
+@query("""WITH c AS (SELECT c_nationkey AS d, c_mktsegment AS x, count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY c_nationkey) AS p FROM customer WHERE c_nationkey % 3 = 0 GROUP BY 1, 2),
+s AS (SELECT s_nationkey AS d, CASE WHEN s_acctbal < 0 THEN 'debt' ELSE 'credit' END AS x, count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY s_nationkey) AS p FROM supplier WHERE s_nationkey % 2 = 0 GROUP BY 1, 2)
+SELECT d AS dist, x AS category, round(p, 6) AS p, 0 AS priority FROM c UNION ALL SELECT d, x, round(p, 6), 1 FROM s WHERE d NOT IN (SELECT d FROM c)
+UNION ALL SELECT n_nationkey, n_name, 1, 2 FROM nation WHERE n_nationkey NOT IN (SELECT d FROM c) AND n_nationkey NOT IN (SELECT d FROM s)""")
 def source_priority(spark, sf_dir):
-    part = lambda rows: spark.createDataFrame(rows, "dist string, category string, p double")
-    return targets.by_priority([part([("a", "p", 0.5), ("a", "q", 0.5)]), part([("a", "z", 1.0), ("b", "r", 1.0)])]).select("dist", "category", "priority")
+    """A nation's distribution from its customers, else its suppliers, else a built-in one; the first two know some nations only."""
+    debt = F.when(F.col("s_acctbal") < 0, "debt").otherwise("credit")
+    c = profile.crosstab_shares(table(spark, sf_dir, "customer").where("c_nationkey % 3 = 0"), "c_nationkey", "c_mktsegment").select(F.col("c_nationkey").alias("dist"), F.col("c_mktsegment").alias("category"), F.col("share").alias("p"))
+    s = profile.crosstab_shares(table(spark, sf_dir, "supplier").where("s_nationkey % 2 = 0").withColumn("x", debt), "s_nationkey", "x").select(F.col("s_nationkey").alias("dist"), F.col("x").alias("category"), F.col("share").alias("p"))
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("dist"), F.col("n_name").alias("category"), F.lit(1.0).alias("p"))
+    return targets.by_priority([c, s, n]).select("dist", "category", r6("p").alias("p"), "priority")
 
 
 @query("SELECT c_nationkey AS given, c_mktsegment AS category, round(count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY c_nationkey), 6) AS p FROM customer GROUP BY 1, 2")

@@ -99,12 +99,12 @@ def not_too_rosy(spark, sf_dir):
     return narratives.not_too_rosy(table(spark, sf_dir, "conversations"), "conv_id", "text").withColumn("ratio", r6("ratio"))
 
 
-@query(r"""WITH t AS (SELECT doc_id, unnest([0, 1, 2, 3]) AS place, unnest([text, lang || ' ' || text, source || ' ' || text, CASE WHEN doc_id % 3 = 0 THEN '' ELSE upper(text) END]) AS x FROM documents),
+@query(r"""WITH t AS (SELECT doc_id, unnest([0, 1, 2, 3]) AS place, unnest([text, lang || ' ' || text, source || ' ' || text, CASE WHEN doc_id % 3 = 0 THEN '' ELSE text || ' more' END]) AS x FROM documents),
 f AS (SELECT doc_id, place, regexp_replace(array_to_string(list_filter(string_split_regex(lower(coalesce(x, '')), '\s+'), lambda w: w <> '')[1:8], ' '), '^[a-zăâîșț]+\s+', '') AS opening FROM t),
 k AS (SELECT *, count(*) OVER (PARTITION BY doc_id, opening) AS n FROM f) SELECT doc_id, string_agg(place, ',' ORDER BY place) AS failing FROM k WHERE n > 1 GROUP BY 1""")
 def shared_openings(spark, sf_dir):
     x = F.col("text")
-    made = table(spark, sf_dir, "documents").select("doc_id", x.alias("a"), F.concat("lang", F.lit(" "), x).alias("b"), F.concat("source", F.lit(" "), x).alias("c"), F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.upper(x)).alias("d"))
+    made = table(spark, sf_dir, "documents").select("doc_id", x.alias("a"), F.concat("lang", F.lit(" "), x).alias("b"), F.concat("source", F.lit(" "), x).alias("c"), F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.concat(x, F.lit(" more"))).alias("d"))
     return narratives.shared_openings(made, "doc_id", ["a", "b", "c", "d"]).select("doc_id", F.array_join(F.col("failing").cast("array<string>"), ",").alias("failing"))
 
 
