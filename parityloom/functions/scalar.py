@@ -122,6 +122,41 @@ def behaviour(t: Mapping[str, Column]) -> Column:
     )
 
 
+# Cues of conduct by trait scores, each with the least score it holds from, and those below all.
+CUES = {
+    "planning_horizon": ("conscientiousness", [(65, "planifică cu săptămâni/luni în avans, liste și reminder-e"), (45, "planifică câteva zile înainte, dar adaptabil")], "decide spontan, preferă flexibilitate"),
+    "routine_tolerance": ("conscientiousness", [(65, "rutină strictă, aceleași ore pentru masă/somn"), (45, "rutină generală cu excepții ocazionale")], "fără rutină fixă, variază de la zi la zi"),
+    "social_initiation": ("extraversion", [(65, "contactează primul, propune ieșiri, inițiază conversații"), (45, "răspunde invitațiilor, mai rar inițiază")], "așteaptă să fie invitat, preferă să fie abordat"),
+    "social_energy": ("extraversion", [(70, "câștigă energie din interacțiuni, petrece mult timp cu alții"), (50, "echilibrat, socializează dar are nevoie și de timp singur"), (30, "socializare în doze mici, apoi are nevoie de liniște")], "interacțiunile sociale îl/o obosesc, preferă solitudinea"),
+}
+CONFLICT_CUES = ["caută compromis, evită confruntarea directă", "spune direct ce gândește, fără ocolișuri", "retrage-se din conflict, ruminează după", "negociază pragmatic, dă și ia"]
+NOVELTY_CUES = ([(80, "încearcă constant lucruri noi, se plictisește rapid de rutină"), (40, "deschis la noutate, dar cu măsură"), (0, "echilibrat între vechi și nou")], "preferă ce-i familiar, schimbare doar când e necesar")
+STRESS_CUES = ([(60, ["insomnie ocazională", "ruminație", "întreabă pe alții dacă totul e ok"]), (40, ["se plânge de oboseală", "caută activități relaxante"])], ["păstrează calm aparent", "rezolvă pas cu pas"], "micromanagement când e stresat")
+DECISION_CUES = {"conscientiousness": ("cântărește pro/contra", "decide intuitiv"), "openness": ("întreabă părerea altora", "se bazează pe experiență proprie")}
+
+
+def cues(t: Mapping[str, Column]) -> Column:
+    """Eight cues of conduct of five trait scores (null: 50), two of them arrays of at most three and of two."""
+    t = {k: F.coalesce(t[k], F.lit(50)) for k in TRAITS}
+    o, c, e, a, n = (t[k] for k in TRAITS)
+
+    def step(score: Column, steps, other) -> Column:
+        make = lambda v: F.array(*map(F.lit, v)) if isinstance(v, list) else F.lit(v)
+        out = make(other)
+        for least, value in reversed(steps):
+            out = F.when(score >= least, make(value)).otherwise(out)
+        return out
+
+    conflict = F.when((a >= 65) & (n <= 50), CONFLICT_CUES[0]).when((a <= 40) & (e >= 60), CONFLICT_CUES[1]).when(n >= 60, CONFLICT_CUES[2]).otherwise(CONFLICT_CUES[3])
+    stress = F.concat(step(n, STRESS_CUES[0], STRESS_CUES[1]), F.when((c >= 60) & (n >= 50), F.array(F.lit(STRESS_CUES[2]))).otherwise(F.array().cast("array<string>")))
+    named = {k: step(t[trait], steps, other) for k, (trait, steps, other) in CUES.items()}
+    decisions = F.array(*[F.when(t[k] >= 60, yes).otherwise(no) for k, (yes, no) in DECISION_CUES.items()])
+    return F.struct(
+        *[named[k].alias(k) for k in ("planning_horizon", "routine_tolerance", "social_initiation")], conflict.alias("conflict_style"),
+        step(o + e - c, *NOVELTY_CUES).alias("novelty_budget"), F.slice(stress, 1, 3).alias("stress_signals"), decisions.alias("decision_cues"), named["social_energy"].alias("social_energy"),
+    )
+
+
 def traits_beyond(traits: Mapping[str, Column], threshold: int, above: bool) -> Column:
     """Names of the traits at or beyond the threshold."""
     return F.array_compact(F.array(*[F.when(c >= threshold if above else c <= threshold, F.lit(t)) for t, c in traits.items()]))

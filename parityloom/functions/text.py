@@ -157,10 +157,25 @@ def is_total(text: Column, labels: Sequence[str] = tuple(TOTAL_LABELS)) -> Colum
     return let(normalise_place(text), lambda norm: F.exists(F.array(*map(F.lit, labels)), lambda p: F.contains(norm, p)))
 
 
-def clean_path(path: Column) -> Column:
-    """Decoded path of a URL, with double underscores as separators."""
-    bare = F.regexp_replace(F.url_decode(path), r"^[a-z]+://[^/]+", "")
-    return F.array_join(F.filter(F.split(F.regexp_replace(bare, "__", "/"), "/"), lambda p: p != ""), "/")
+# What stands before the path of a dataset, and languages that may begin it.
+PATH_MARKERS, PATH_LANGUAGES = ["/PxWeb/pxweb/", "/pxweb/", "/PxWeb/api/v1/"], ["ro", "en"]
+
+
+def clean_path(path: Column, markers: Sequence[str] = tuple(PATH_MARKERS), languages: Sequence[str] = tuple(PATH_LANGUAGES)) -> Column:
+    """The path of a dataset from a URL, a path with a marker, or as it is.
+
+    Decoded; what follows the first marker found; without a leading language, and without a first part that the
+    second repeats before its double underscore; double underscores separate parts.
+    """
+    raw = F.trim(F.coalesce(path, F.lit("")))
+    bare = F.try_url_decode(F.replace(F.when(F.contains(raw, F.lit("://")), F.coalesce(F.try_parse_url(raw, F.lit("PATH")), F.lit(""))).otherwise(raw), F.lit("+"), F.lit("%2B")))
+    after = F.coalesce(bare, raw)
+    for m in reversed(markers):
+        after = F.when(F.contains(F.coalesce(bare, raw), F.lit(m)), F.regexp_replace(F.coalesce(bare, raw), r"(?s)^.*?\Q" + m + r"\E", "")).otherwise(after)
+    parts = F.filter(F.split(after, "/"), lambda p: p != "")
+    spoken = let(parts, lambda p: F.when(F.get(p, F.lit(0)).isin(list(languages)), F.slice(p, 2, 10_000)).otherwise(p))
+    twice = let(spoken, lambda p: F.when(F.contains(F.get(p, F.lit(1)), F.lit("__")) & (normalise(F.substring_index(F.get(p, F.lit(1)), "__", 1)) == normalise(F.get(p, F.lit(0)))), F.slice(p, 2, 10_000)).otherwise(p))
+    return F.array_join(F.filter(F.flatten(F.transform(twice, lambda p: F.split(p, "__"))), lambda p: p != ""), "/")
 
 
 def trait_scores(text: Column, words: Mapping[str, tuple[Sequence[str], Sequence[str]]] = TRAIT_WORDS) -> Column:
@@ -220,12 +235,12 @@ def parsed_sections(text: Column, markers: Sequence[str]) -> Column:
     return F.when(any_marker, by_marker).when(F.exists(F.map_keys(headers), lambda k: k != ""), headers).otherwise(F.create_map(F.lit(markers[0]), F.coalesce(text, F.lit(""))))
 
 
-def context_windows(text: Column, words: Sequence[str], before: int = 30, after: int = 100, most: int = 5) -> Column:
-    """For each word found, in list order, the text around its first place; at most `most`."""
+def context_windows(text: Column, words: Sequence[str], before: int = 30, after: int = 100, most: int = 5, longer_than: int = 10) -> Column:
+    """For each word found, in list order, the text around its first place if it is long enough; at most `most`."""
     raw = F.coalesce(text, F.lit(""))
     at = let(lower(text), lambda low: F.filter(F.transform(F.array(*map(F.lit, words)), lambda w: F.instr(low, w)), lambda p: p > 0))
     cut = F.transform(at, lambda p: F.trim(F.substr(raw, F.greatest(F.lit(1), p - before), F.least(p - 1, F.lit(before)) + after)))
-    return F.slice(cut, 1, most)
+    return F.slice(F.filter(cut, lambda c: F.length(c) > longer_than), 1, most)
 
 
 def listed_keywords(text: Column, words: Sequence[str], most: int = 8) -> Column:

@@ -61,6 +61,14 @@ def crosstab_shares(df: DataFrame, group: str, key: str) -> DataFrame:
     return with_share(df.groupBy(group, key).agg(F.count(F.lit(1)).alias("n")), [group])
 
 
+def adult_shares(ages: DataFrame, least: int = 18) -> DataFrame:
+    """(category, n, p): single ages (age, count) of adults rolled up to age groups; ages too low and nulls are left out."""
+    from ..functions.scalar import adult_age_group
+
+    groups = ages.where((F.col("age") >= least) & F.col("count").isNotNull()).groupBy(adult_age_group(F.col("age")).alias("category")).agg(F.sum("count").alias("n"))
+    return with_share(groups).withColumnRenamed("share", "p")
+
+
 def grouping_sets(df: DataFrame, sets: Sequence[Sequence[str]], columns: Sequence[str]) -> DataFrame:
     """Counts over several sets of columns in one pass; absent columns are null, and set_id tells which set it is."""
     return df.groupingSets([[F.col(c) for c in s] for s in sets], *columns).agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("set_id"))

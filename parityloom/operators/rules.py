@@ -110,6 +110,14 @@ def coverage(df: DataFrame, group: str, kind: str, least: dict[str, int]) -> Dat
     return groups.join(got, [group, kind], "left").select(group, kind, F.coalesce("n", F.lit(0)).alias("n"), "least").where("n < least")
 
 
+# What names an occupation of higher education, and what a child may be.
+STUDIED = [
+    "profesor", "medic", "inginer", "avocat", "judecător", "procuror", "arhitect", "farmacist", "psiholog", "economist", "programator",
+    "analist", "consultant", "manager senior", "director", "doctor", "cercetător", "universitar", "jurnalist", "traducător",
+]
+CHILDREN = ["elev", "student", "copil"]
+
+
 def person_rules(mode: str = "ADULT_18", strict_places: bool = False) -> list[Rule]:
     """The rules on a record: structure, domains, and what age allows."""
     from ..functions.scalar import age_group, least_age
@@ -118,6 +126,8 @@ def person_rules(mode: str = "ADULT_18", strict_places: bool = False) -> list[Ru
     low, high = {"ADULT_18": (18, 110), "YOUTH_15_PLUS": (15, 110), "ALL_AGES": (0, 110)}[mode]
     age, education = F.col("age"), F.col("education_level")
     higher = education.isin("Superior (Licență/Master)", "Doctorat")
+    work = F.lower(F.coalesce(F.col("occupation"), F.lit("")))
+    named = lambda words: F.exists(F.array(*map(F.lit, words)), lambda w: F.contains(work, w))
     out = [
         between("age", low, high),
         Rule("age_group_matches", "age_group", F.col("age_group") != age_group(age), message="age group does not fit the age"),
@@ -128,7 +138,8 @@ def person_rules(mode: str = "ADULT_18", strict_places: bool = False) -> list[Ru
         Rule("field_of_study_missing", "field_of_study", higher & F.col("field_of_study").isNull(), "warning", "higher education without a field"),
         Rule("education_too_early", "education_level", age < least_age(education), message="too young for the education"),
         Rule("married_too_early", "marital_status", (age < 16) & (F.col("marital_status") != "Necăsătorit"), message="too young to have married"),
-        Rule("works_too_early", "occupation", (age < 14) & (F.col("occupation") != ""), "warning", "too young for an occupation"),
+        Rule("occupation_needs_study", "occupation", named(STUDIED) & ~F.coalesce(higher, F.lit(False)), "warning", "an occupation of higher education without it"),
+        Rule("works_too_early", "occupation", (age < 14) & ~named(CHILDREN), "warning", "too young for an occupation"),
     ]
     if strict_places:
         out += [present("district"), Rule("city_empty", "city", F.coalesce(F.col("city"), F.lit("")) != "", message="strict places carry no city")]

@@ -574,7 +574,7 @@ def marker_sections(spark, sf_dir):
 
 
 @query("""WITH a AS (SELECT doc_id, text, list_filter(list_transform(['the ', 'que ', 'ing '], lambda w: instr(lower(text), w)), lambda p: p > 0) AS places FROM documents)
-SELECT doc_id, array_to_string(list_transform(places, lambda p: trim(substr(text, CAST(greatest(1, p - 30) AS BIGINT), CAST(least(p - 1, 30) + 100 AS BIGINT)), ' ')), '|') AS windows FROM a""")
+SELECT doc_id, array_to_string(list_filter(list_transform(places, lambda p: trim(substr(text, CAST(greatest(1, p - 30) AS BIGINT), CAST(least(p - 1, 30) + 100 AS BIGINT)), ' ')), lambda c: length(c) > 10), '|') AS windows FROM a""")
 def context_window(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.array_join(text.context_windows(F.col("text"), ["the ", "que ", "ing "]), "|").alias("windows"))
 

@@ -266,14 +266,14 @@ def pps_resample(spark, sf_dir):
 
 
 @query("""WITH r AS (SELECT o_orderkey AS id, CAST(o_orderkey % 130 AS INTEGER) AS age, o_custkey % 4 AS e FROM orders)
-SELECT id, rule FROM (SELECT id, unnest(list_filter([CASE WHEN age NOT BETWEEN 18 AND 110 THEN 'age_range' END, CASE WHEN e = 1 AND age < 18 THEN 'education_too_early' WHEN e = 2 AND age < 25 THEN 'education_too_early' END, CASE WHEN e IN (1, 2) AND id % 3 <> 0 THEN 'field_of_study_missing' END, CASE WHEN age < 16 AND id % 2 = 0 THEN 'married_too_early' END, CASE WHEN age < 14 THEN 'works_too_early' END], lambda x: x IS NOT NULL)) AS rule FROM r)""")
+SELECT id, rule FROM (SELECT id, unnest(list_filter([CASE WHEN age NOT BETWEEN 18 AND 110 THEN 'age_range' END, CASE WHEN e = 1 AND age < 18 THEN 'education_too_early' WHEN e = 2 AND age < 25 THEN 'education_too_early' END, CASE WHEN e IN (1, 2) AND id % 3 <> 0 THEN 'field_of_study_missing' END, CASE WHEN age < 16 AND id % 2 = 0 THEN 'married_too_early' END, CASE WHEN id % 5 = 0 AND e NOT IN (1, 2) THEN 'occupation_needs_study' END, CASE WHEN age < 14 AND id % 5 <> 1 THEN 'works_too_early' END], lambda x: x IS NOT NULL)) AS rule FROM r)""")
 def record_rules(spark, sf_dir):
     key = F.col("o_orderkey")
     e = F.col("o_custkey") % 4
     rows = table(spark, sf_dir, "orders").select(
         key.alias("id"), (key % 130).cast("int").alias("age"), F.lit("Feminin").alias("sex"), F.lit("Sud").alias("region"), F.lit("Urban").alias("residence_type"),
         F.when(e == 1, "Superior (Licență/Master)").when(e == 2, "Doctorat").otherwise("Fără studii").alias("education_level"),
-        F.when(key % 3 == 0, "Drept").alias("field_of_study"), F.when(key % 2 == 0, "Căsătorit").otherwise("Necăsătorit").alias("marital_status"), F.lit("x").alias("occupation"),
+        F.when(key % 3 == 0, "Drept").alias("field_of_study"), F.when(key % 2 == 0, "Căsătorit").otherwise("Necăsătorit").alias("marital_status"), F.when(key % 5 == 0, "Inginer șef").when(key % 5 == 1, "Elev").otherwise("x").alias("occupation"),
     ).withColumn("age_group", scalar.age_group(F.col("age")))
     return rules.violations(rows, rules.person_rules(), "id").select("id", "rule")
 

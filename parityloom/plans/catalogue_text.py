@@ -6,11 +6,12 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import divergence, targets
+from ..functions import scalar
+from ..operators import divergence, profile, targets
 from ..operators.common import shared_folder
 from ..sources import cache
-from . import narratives
-from .catalogue import counted, query, r6, table
+from . import catalogue_rules, narratives
+from .catalogue import counted, long, query, r6, table
 
 # ---- records and their narratives ----------------------------------------------------------------
 
@@ -148,3 +149,27 @@ SELECT c_nationkey, n, round(mean, 4) AS mean, round(std, 4) AS std, round(kl, 6
 def law_by_nation(spark, sf_dir):
     got = divergence.against_normal(table(spark, sf_dir, "customer"), "c_acctbal", ["c_nationkey"], -1000, 10000, 22, least_variance=9_000_000)
     return got.select("c_nationkey", "n", *[F.round(c, 4).alias(c) for c in ("mean", "std")], *[r6(c).alias(c) for c in ("kl", "js", "max_error", "mean_error")], "collapsed")
+
+
+# ---- cues, ages, paths ---------------------------------------------------------------------------
+
+
+@query(rf"""WITH {catalogue_rules.TRAITS_SQL}
+SELECT c_custkey, CASE WHEN c >= 65 THEN 'planifică cu săptămâni/luni în avans, liste și reminder-e' WHEN c >= 45 THEN 'planifică câteva zile înainte, dar adaptabil' ELSE 'decide spontan, preferă flexibilitate' END AS planning_horizon,
+CASE WHEN c >= 65 THEN 'rutină strictă, aceleași ore pentru masă/somn' WHEN c >= 45 THEN 'rutină generală cu excepții ocazionale' ELSE 'fără rutină fixă, variază de la zi la zi' END AS routine_tolerance,
+CASE WHEN e >= 65 THEN 'contactează primul, propune ieșiri, inițiază conversații' WHEN e >= 45 THEN 'răspunde invitațiilor, mai rar inițiază' ELSE 'așteaptă să fie invitat, preferă să fie abordat' END AS social_initiation,
+CASE WHEN a >= 65 AND n <= 50 THEN 'caută compromis, evită confruntarea directă' WHEN a <= 40 AND e >= 60 THEN 'spune direct ce gândește, fără ocolișuri' WHEN n >= 60 THEN 'retrage-se din conflict, ruminează după' ELSE 'negociază pragmatic, dă și ia' END AS conflict_style,
+CASE WHEN o + e - c >= 80 THEN 'încearcă constant lucruri noi, se plictisește rapid de rutină' WHEN o + e - c >= 40 THEN 'deschis la noutate, dar cu măsură' WHEN o + e - c >= 0 THEN 'echilibrat între vechi și nou' ELSE 'preferă ce-i familiar, schimbare doar când e necesar' END AS novelty_budget,
+array_to_string(list_concat(CASE WHEN n >= 60 THEN ['insomnie ocazională', 'ruminație', 'întreabă pe alții dacă totul e ok'] WHEN n >= 40 THEN ['se plânge de oboseală', 'caută activități relaxante'] ELSE ['păstrează calm aparent', 'rezolvă pas cu pas'] END, CASE WHEN c >= 60 AND n >= 50 THEN ['micromanagement când e stresat'] ELSE [] END)[1:3], '|') AS stress_signals,
+CASE WHEN c >= 60 THEN 'cântărește pro/contra' ELSE 'decide intuitiv' END || '|' || CASE WHEN o >= 60 THEN 'întreabă părerea altora' ELSE 'se bazează pe experiență proprie' END AS decision_cues,
+CASE WHEN e >= 70 THEN 'câștigă energie din interacțiuni, petrece mult timp cu alții' WHEN e >= 50 THEN 'echilibrat, socializează dar are nevoie și de timp singur' WHEN e >= 30 THEN 'socializare în doze mici, apoi are nevoie de liniște' ELSE 'interacțiunile sociale îl/o obosesc, preferă solitudinea' END AS social_energy FROM t""")
+def conduct_cues(spark, sf_dir):
+    got = table(spark, sf_dir, "customer").select("c_custkey", scalar.cues(catalogue_rules.traits()).alias("c")).select("c_custkey", "c.*")
+    return got.withColumns({k: F.array_join(k, "|") for k in ("stress_signals", "decision_cues")})
+
+
+@query("""WITH a AS (SELECT CAST(p_size * 2 AS INTEGER) AS age, count(*) AS c FROM part GROUP BY 1), g AS (SELECT CASE WHEN age < 25 THEN '18-24' WHEN age < 35 THEN '25-34' WHEN age < 45 THEN '35-44' WHEN age < 55 THEN '45-54' WHEN age < 65 THEN '55-64' ELSE '65+' END AS category, sum(c) AS n FROM a WHERE age >= 18 GROUP BY 1)
+SELECT category, CAST(n AS BIGINT) AS n, round(n / sum(n) OVER (), 6) AS p FROM g""")
+def adult_ages(spark, sf_dir):
+    ages = table(spark, sf_dir, "part").groupBy((F.col("p_size") * 2).cast("int").alias("age")).agg(F.count(F.lit(1)).alias("count"))
+    return profile.adult_shares(ages).select("category", long("n").alias("n"), r6("p").alias("p"))

@@ -59,7 +59,7 @@ def test_texts(spark):
     assert one(spark, text.normalise(F.lit("  Chișinău, (mun.)  Țara "))) == "chisinau mun tara"
     assert one(spark, text.section(F.lit("[A] - one [B] two"), "A", ["A", "B"])) == "one"
     assert one(spark, text.parsed_sections(F.lit("Work:\nfarmer\nHobby:\nchess"), ["A"])) == {"Work": "farmer", "Hobby": "chess"}
-    assert one(spark, text.context_windows(F.lit("I know how to cook well"), ["cook"], 4, 4)) == ["to cook"]
+    assert one(spark, text.context_windows(F.lit("I know how to cook well"), ["cook"], 4, 4, longer_than=0)) == ["to cook"]
 
 
 def test_nested(spark):

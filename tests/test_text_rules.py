@@ -148,3 +148,16 @@ def test_groups_against_the_law(spark):
     assert got["flat"]["max_error"] == pytest.approx(max(abs(a / sum(p) - b) for a, b in zip(p, q)), abs=1e-6)
     fixed = {r["g"]: r for r in divergence.against_normal(df, "v", ["g"], 0, 100, 10, 50.0, 15.0).collect()}
     assert fixed["narrow"]["kl"] > 0.5 and fixed["one"]["kl"] > 0.5
+
+
+def test_paths(spark):
+    paths = {
+        "https://x.md/PxWeb/pxweb/ro/20%20Populatia/20%20Populatia__POP010/a.px/?rxid=1": "20 Populatia/POP010/a.px",
+        "pxweb/ro/A/b__c": "pxweb/ro/A/b/c",
+        "/pxweb/en/Ă b/A B__c__d/e": "A B/c/d/e",
+        "http://x.md/PxWeb/api/v1/ro/one/two+three.px": "one/two+three.px",
+        " /a//b/ ": "a/b",
+        "": "",
+    }
+    got = [r[0] for r in spark.createDataFrame([(p,) for p in paths], "p string").select(text.clean_path(F.col("p"))).collect()]
+    assert got == list(paths.values()) and spark.range(1).select(text.clean_path(F.lit(None).cast("string"))).head()[0] == ""
