@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -21,7 +22,7 @@ def _own_folder() -> str:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all machines share. Only a local session may go without: it takes a folder of its own."""
     given = spark.conf.get("spark.checkpoint.dir", None)
-    if not given and not spark.sparkContext.master.startswith("local"):
+    if not given and not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return (given or _own_folder()).rstrip("/")
 

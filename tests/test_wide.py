@@ -181,3 +181,18 @@ def test_references(spark):
     assert [tuple(r) for r in rules.dangling(df, "k", parent, "id").collect()] == [(1, 2)]
     assert [tuple(r) for r in rules.childless(parent, "id", df, "k").collect()] == [(3,)]
     assert [tuple(r) for r in rules.repeated_rows(df, ["k"]).collect()] == [(1, 2)]
+
+
+# ---- shared folders ------------------------------------------------------------------------------
+
+
+def test_only_a_local_session_goes_without_a_shared_folder():
+    from types import SimpleNamespace
+
+    from parityloom.operators.common import shared_folder
+
+    session = lambda master, given=None: SimpleNamespace(conf=SimpleNamespace(get=lambda *a: given), sparkContext=SimpleNamespace(master=master))
+    assert shared_folder(session("local[4]")) and shared_folder(session("local")) and shared_folder(session("spark://x", "hdfs://y/")) == "hdfs://y"
+    for master in ("local-cluster[2,1,1024]", "spark://x"):
+        with pytest.raises(ValueError):
+            shared_folder(session(master))
