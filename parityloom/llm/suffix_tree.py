@@ -34,11 +34,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, numbered, saved, shuffle_width, small_batches, unused
+from .common import forget, numbered, saved, small_batches, unused
 
 ALPHA, K, LEAST_COUNT, LEAST_CONTEXT, LEAST_GAIN = 0.1, 2.0, 2, 12, 2.0
-#: Most words that go to all tasks, bits of a filter, tokens of a block, and of a lane at 6 bytes each.
-HEAVY, FILTER, BLOCK, LANE, TOKEN = 1 << 17, 1 << 22, 1_000_000, 2_000_000, 6
+#: Most words that go to all tasks, bits of a filter, tokens of a block, tokens of a lane at 6 bytes each, and least lanes.
+HEAVY, FILTER, BLOCK, LANE, TOKEN, LANES = 1 << 17, 1 << 22, 1_000_000, 2_250_000, 6, 64
 #: What stands before a text, two places before it, and tells keys of the four kinds of rows apart.
 BEGIN, NONE = 0x5BD1E9955BD1E995, 0
 PAIR, TRIPLE, ONE, TWO = 0x1B873593CC9E2D51, 0x2127599BF4325C37, 0x4CF5AD432745937F, 0x38495AB569CC5DF1
@@ -184,7 +184,7 @@ def packed(**arrays: np.ndarray) -> bytes:
 
     to = io.BytesIO()
     np.savez(to, **arrays)
-    return zstandard.compress(to.getvalue(), 3)
+    return zstandard.compress(to.getvalue(), 1)
 
 
 def unpacked(blob: bytes) -> dict[str, np.ndarray]:
@@ -342,13 +342,17 @@ def over_root(rows: DataFrame, tree: DataFrame, ones: np.ndarray, twos: np.ndarr
         out: list[tuple[np.ndarray, np.ndarray]] = []
         for blob in left["blob"] if len(k) else []:
             got = unpacked(blob.as_py())
-            t, u, w = np.split(np.concatenate([common[np.cumsum(got["common"])], got["words"]])[got["code"]], 3)
-            kept, pen = find(keys(ONE, u))
-            hit, gain = find(keys(PAIR, u, w))
+            known = np.concatenate([common[np.cumsum(got["common"])], got["words"]])
+            t, u, w = np.split(got["code"], 3)
+            kept, pen = (a[u] for a in find(keys(ONE, known)))
+            hit, gain = find(keys(PAIR, known[u], known[w]))
             x = np.where(kept, np.where(hit, gain, pen), 0.0)
-            deep, pen = find(keys(TWO, t, u))
-            hit, gain = find(keys(TRIPLE, t, u, w))
-            x = np.where(deep & (t != NONE), np.where(hit, gain, pen + x), x)
+            # the longer contexts of those that may have one
+            at = np.flatnonzero(known[t] != NONE)
+            deep, pen = find(keys(TWO, known[t[at]], known[u[at]]))
+            at, pen = at[deep], pen[deep]
+            hit, gain = find(keys(TRIPLE, known[t[at]], known[u[at]], known[w[at]]))
+            x[at] = np.where(hit, gain, pen + x[at])
             out.append((got["rows"], np.bincount(got["d"], x, len(got["rows"]))))
         whose, x = (np.concatenate([o[i] for o in out]) if out else np.zeros(0) for i in range(2))
         return pa.table({"row": pa.array(whose.astype(np.int64)), "x": pa.array(x.astype(float))})
@@ -394,7 +398,7 @@ def scored(docs: DataFrame, train: Column, least: int = LEAST_CONTEXT, gain: flo
     docs = numbered(docs, row)
     every, learning = texts(docs, row), texts(docs.where("trained"), row)
     size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
-    lanes = max(shuffle_width(spark), -(-size // (LANE * TOKEN)))
+    lanes = max(LANES, -(-size // (LANE * TOKEN)))
     grams = saved(counted(learning, lanes), "grams", "zstd")
     words = words_of(grams)
     total, kinds = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).head()

@@ -105,6 +105,7 @@ def test_equals_dictionaries(spark):
 def test_lanes_and_filters_change_nothing(spark, monkeypatch):
     rows = corpus(60, 2)
     plain = scores(spark, rows)
+    monkeypatch.setattr(suffix_tree, "LANES", 3)
     monkeypatch.setattr(suffix_tree, "LANE", 40)  # words before many tokens go to several lanes
     monkeypatch.setattr(suffix_tree, "BLOCK", 50)
     monkeypatch.setattr(suffix_tree, "HEAVY", 4)  # most words are joined
