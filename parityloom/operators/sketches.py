@@ -5,6 +5,9 @@ number and a theta sketch of a key. Rows of many batches merge into the same row
 all would give, within the bounds below. A sketch has a fixed largest size, so a group of any number of rows is
 some kilobytes, and merging shuffles sketches, not rows.
 
+Numbers of keys are exact up to the entries of a theta sketch and estimates beyond; exact_distinct and exact_overlaps count
+the groups beyond in their rows.
+
 Nulls are left out of a sketch and of n_values; n counts all rows. A null group is a group. An empty
 table gives no rows.
 """
@@ -16,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import small
+
 #: Sizes of the sketches: K of KLL, and the logarithm of the entries of theta.
 K, LOG_ENTRIES = 400, 12
 
@@ -66,6 +71,40 @@ def overlaps(sketches: DataFrame, order: Column, by: Sequence[str] = ()) -> Data
     return both.select(*by, "order", size("k").alias("keys"), size("kb").alias("before"), size(F.theta_intersection("k", "kb")).alias("both"))
 
 
+def _of_groups(df: DataFrame, by: Sequence[str], groups: DataFrame) -> DataFrame:
+    """The rows of df that are of the groups; a null group is a group."""
+    asked = small(groups.select(*[F.col(b).alias(f"{b}_") for b in by]))
+    return df.join(asked, [F.col(b).eqNullSafe(F.col(f"{b}_")) for b in by], "left_semi")
+
+
+def _corrected(found: DataFrame, exact: DataFrame, by: Sequence[str], numbers: Sequence[str]) -> DataFrame:
+    """found, with the numbers of exact where it has the group."""
+    better = small(exact.select(*[F.col(b).alias(f"{b}_") for b in by], *[F.col(c).alias(f"{c}_") for c in numbers]))
+    met = found.join(better, [F.col(b).eqNullSafe(F.col(f"{b}_")) for b in by], "left")
+    return met.select(*[F.coalesce(f"{c}_", c).alias(c) if c in numbers else c for c in found.columns])
+
+
+def exact_distinct(found: DataFrame, df: DataFrame, by: Sequence[str], key: Column, log_entries: int = LOG_ENTRIES) -> DataFrame:
+    """Estimates with the true number of keys in every group.
+
+    A sketch that holds all keys of its group has at most 2**log_entries of them, and one that left keys out estimates more. Groups
+    of more are counted in the rows df: different (group, key) pairs are dealt by both, so no task holds a group.
+    """
+    unsure = found.where(F.col("distinct") > 2**log_entries)
+    pairs = _of_groups(df.select(*by, key.alias("key_")).where("key_ IS NOT NULL"), by, unsure).distinct()
+    return _corrected(found, pairs.groupBy(*by).agg(F.count(F.lit(1)).alias("distinct")), by, ["distinct"])
+
+
+def exact_overlaps(found: DataFrame, df: DataFrame, order: Column, key: Column, by: Sequence[str] = (), log_entries: int = LOG_ENTRIES) -> DataFrame:
+    """Overlaps with true numbers: those of which a sketch left keys out are counted in the rows df, by (group, order, key)."""
+    unsure = found.where((F.col("keys") > 2**log_entries) | (F.col("before") > 2**log_entries))
+    sides = F.array(F.struct(order.alias("order"), F.lit(1).alias("here"), F.lit(0).alias("past")), F.struct((order + 1).alias("order"), F.lit(0).alias("here"), F.lit(1).alias("past")))
+    rows = df.select(*by, key.alias("key_"), F.explode(sides).alias("s_")).select(*by, "key_", "s_.*").where("key_ IS NOT NULL")
+    each = _of_groups(rows, [*by, "order"], unsure).groupBy(*by, "order", "key_").agg(F.max("here").alias("here"), F.max("past").alias("past"))
+    exact = each.groupBy(*by, "order").agg(F.sum("here").alias("keys"), F.sum("past").alias("before"), F.sum(F.col("here") * F.col("past")).alias("both"))
+    return _corrected(found, exact, [*by, "order"], ["keys", "before", "both"])
+
+
 def rank_errors(df: DataFrame, by: Sequence[str], value: Column, found: DataFrame, points: Sequence[float] = (0.5, 0.95, 0.99)) -> DataFrame:
     """(by, error): how far each estimate's true rank is from its point, as a part of all values, the largest of the points.
 
