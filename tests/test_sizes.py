@@ -38,3 +38,8 @@ def many_users(spark, tmp_path):
 def test_sketch_percentiles_counts_more_users_than_a_sketch_holds(spark, many_users):
     sf, con = many_users
     assert difference(catalogue.QUERIES["sketch_percentiles"](spark, sf), con, catalogue.ORACLE["sketch_percentiles"]) == ""
+
+
+def test_sketch_overlap_counts_more_users_than_a_sketch_holds(spark, many_users):
+    sf, con = many_users
+    assert difference(catalogue.QUERIES["sketch_overlap"](spark, sf), con, catalogue.ORACLE["sketch_overlap"]) == ""
