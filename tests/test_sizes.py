@@ -1,13 +1,17 @@
 """Results and work of queries on tables larger than the given ones."""
 
+import hashlib
 from pathlib import Path
 
 import duckdb
+import pyarrow as pa
 import pytest
 from oracle import TABLES, difference
 from pyspark.sql import functions as F
 
 import __spark_entry__  # noqa: F401  it adds all queries to the catalogue
+from parityloom.functions import digests
+from parityloom.operators import duplicates
 from parityloom.plans import catalogue
 
 SF = "/root/testdata/sf0.001"
@@ -43,3 +47,17 @@ def test_sketch_percentiles_counts_more_users_than_a_sketch_holds(spark, many_us
 def test_sketch_overlap_counts_more_users_than_a_sketch_holds(spark, many_users):
     sf, con = many_users
     assert difference(catalogue.QUERIES["sketch_overlap"](spark, sf), con, catalogue.ORACLE["sketch_overlap"]) == ""
+
+
+def test_digests_of_grams_are_those_of_hashlib(spark):
+    """Messages of one block to many, at the edges of blocks, of none, in rows that are cut from one another."""
+    words = [chr(97 + i % 26) * (i % 29 + 1) for i in range(120)] + ["ș" * 70, "x" * 500, "y", "語"]
+    rows = [" ".join(words[i : i + i % 13]) for i in range(100)] + [None, "", "a b", "a b c", " ".join(words * 3)]
+    grams = [[" ".join(w[i : i + 3]) for i in range(len(w) - 2)] for w in ((r or "").split() for r in rows)]
+    least = [[min(hashlib.md5(f"{g}_{i}".encode()).hexdigest() for g in each) for i in range(20)] if each else None for each in grams]
+    assert digests.least_of(pa.array(rows), 3, 20).to_pylist() == least
+
+
+def test_signatures_are_computed_once_and_not_row_by_row(spark):
+    plan = duplicates.signed(spark.read.parquet(f"{SF}/documents.parquet"), "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "md5" not in plan
