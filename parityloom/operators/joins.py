@@ -39,14 +39,21 @@ def in_ranges(df: DataFrame, value: str, ranges: DataFrame, width: float) -> Dat
     return hit.where(F.col(value).between(F.col("low"), F.col("high"))).drop("cell_")
 
 
-def close_pairs(df: DataFrame, row_id: str, value: str, width: float, block: Sequence[str] = ()) -> DataFrame:
-    """(a, b) of rows of one block whose values differ by at most width: a banded join on cells."""
+def close_pairs(df: DataFrame, row_id: str, value: str, width: float, block: Sequence[str] = (), tasks: int = 400) -> DataFrame:
+    """(a, b) of rows of one block whose values differ by at most width: a banded join on cells.
+
+    A pair lies in one cell or in two that follow each other, so each row waits in its own cell and looks into its own and the
+    next. Pairs outnumber rows without bound, so cells are dealt to a fixed number of tasks, which Spark does not join to a few for
+    the smallness of the rows.
+    """
     cell = F.floor(F.col(value) / width).cast("long")
-    left = df.select(*block, F.col(row_id).alias("a"), F.col(value).alias("va"), F.explode(F.array(cell, cell + 1)).alias("cell_"))
-    right = df.select(*block, F.col(row_id).alias("b"), F.col(value).alias("vb"), cell.alias("own_"), F.explode(F.array(cell, cell + 1)).alias("cell_"))
-    # two values at most a width apart share the larger one's cell, or lie in one cell
-    pairs = left.join(right, [*block, "cell_"]).where((F.col("a") < F.col("b")) & (F.abs(F.col("va") - F.col("vb")) <= width))
-    return pairs.where(F.col("cell_") == F.floor(F.greatest("va", "vb") / width).cast("long")).select("a", "b")
+    left = df.select(*block, F.col(row_id).alias("i"), F.col(value).alias("vi"), F.explode(F.array(F.struct(cell.alias("cell_"), F.lit(True).alias("own_")), F.struct((cell + 1).alias("cell_"), F.lit(False).alias("own_")))).alias("c_")).select(*block, "i", "vi", "c_.*")
+    right = df.select(*block, F.col(row_id).alias("j"), F.col(value).alias("vj"), cell.alias("cell_"))
+    keys = [*block, "cell_"]
+    met = left.repartition(tasks, *keys).join(right.repartition(tasks, *keys).hint("shuffle_hash"), keys)
+    once = F.when(F.col("own_"), F.col("i") < F.col("j")).otherwise(F.col("i") != F.col("j"))
+    pairs = met.where(once & (F.abs(F.col("vi") - F.col("vj")) <= width))
+    return pairs.select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b"))
 
 
 def missing(df: DataFrame, known: DataFrame, on: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__  # noqa: F401  it adds all queries to the catalogue
 from parityloom.functions import digests
-from parityloom.operators import duplicates
+from parityloom.operators import duplicates, joins
 from parityloom.plans import catalogue
 
 SF = "/root/testdata/sf0.001"
@@ -61,3 +61,11 @@ def test_digests_of_grams_are_those_of_hashlib(spark):
 def test_signatures_are_computed_once_and_not_row_by_row(spark):
     plan = duplicates.signed(spark.read.parquet(f"{SF}/documents.parquet"), "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1 and "md5" not in plan
+
+
+def test_close_pairs_are_spread_over_many_tasks(spark):
+    rows = spark.range(6000).select("id", (F.col("id") % 600 / 10.0).alias("v"))
+    got = joins.close_pairs(rows, "id", "v", 0.25)
+    per_task = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    expected = sum(1 for x in range(600) for y in range(x, min(x + 3, 600)) for _ in range(45 if x == y else 100))
+    assert sum(per_task) == expected == got.distinct().count() and max(per_task) < expected / 20
