@@ -34,7 +34,8 @@ def kept_on_disk(spark: SparkSession) -> Iterator[None]:
 class Visits(StatefulProcessor):
     """Rows wait until the watermark has passed the end of their step, then come in order; a visit is given out once its gap has passed too.
 
-    Times are microseconds. There is a timer for each step that has rows, and one for the end of the open visit's gap.
+    Times are microseconds. There is a timer for the first step of each batch's rows and of those that wait on, and one for the end
+    of the open visit's gap; state is read and written once a timer, however many rows are due.
     """
 
     def __init__(self, key: str, gap: int, step: int):
@@ -52,15 +53,11 @@ class Visits(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         more = [(r["at_"], r["tie_"], r["kind_"], r["amount_"]) for r in rows]
         self.waiting.appendList(more)
-        for end in {m[0] // self.step for m in more}:
-            self._wake(end * self.step)
+        self._wake(min(m[0] for m in more))
         return iter([])
 
-    def _closed(self, key) -> Row:
-        first, last, n, amount = self.open.get()
-        kinds = [k for (k,) in self.path.get()]
-        self.open.clear()
-        self.path.clear()
+    def _row(self, key, visit, kinds) -> Row:
+        first, last, n, amount = visit
         return Row(**{self.key: key[0]}, first=first, last=last, n=n, amount=amount, path=kinds)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
@@ -71,19 +68,36 @@ class Visits(StatefulProcessor):
         if due:
             rest = waiting[len(due) :]
             self.waiting.put(rest) if rest else self.waiting.clear()
+            if rest:
+                self._wake(rest[0][0])
+        was = now = self.open.get() if self.open.exists() else None
+        # kinds of the open visit that came now; those before are in state until it is closed
+        kinds, stored = [], was is not None
+        out = []
+
+        def closed() -> Row:
+            return self._row(key, now, ([k for (k,) in self.path.get()] if stored else []) + kinds)
+
         for at, _, kind, amount in due:
-            now = self.open.get() if self.open.exists() else None
             if now and at - now[1] > self.gap:
-                yield self._closed(key)
-                now = None
-            self.open.update((now[0] if now else at, at, (now[2] if now else 0) + 1, (now[3] if now else 0) + amount))
-            self.path.appendValue((kind,))
-        if self.open.exists():
-            last = self.open.get()[1]
-            if last + self.gap < until:
-                yield self._closed(key)
-            else:
-                self._wake(last + self.gap)
+                out.append(closed())
+                now, kinds, stored = None, [], False
+            now = (now[0] if now else at, at, (now[2] if now else 0) + 1, (now[3] if now else 0) + amount)
+            kinds.append(kind)
+        if now and now[1] + self.gap < until:
+            out.append(closed())
+            now, kinds, stored = None, [], False
+        if was and not stored:
+            self.path.clear()
+        if now:
+            if due:
+                self.open.update(now)
+            if kinds:
+                self.path.appendList([(k,) for k in kinds])
+            self._wake(now[1] + self.gap)
+        elif was:
+            self.open.clear()
+        yield from out
 
 
 def visits(df: DataFrame, key: str, ts: str, kind: Column, amount: Column, tie: Column, gap: str, late: str, step: str = "1 hour") -> DataFrame:

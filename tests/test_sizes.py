@@ -13,6 +13,7 @@ import __spark_entry__  # noqa: F401  it adds all queries to the catalogue
 from parityloom.functions import digests
 from parityloom.operators import duplicates, joins
 from parityloom.plans import catalogue
+from parityloom.streaming import state
 
 SF = "/root/testdata/sf0.001"
 
@@ -69,3 +70,39 @@ def test_close_pairs_are_spread_over_many_tasks(spark):
     per_task = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
     expected = sum(1 for x in range(600) for y in range(x, min(x + 3, 600)) for _ in range(45 if x == y else 100))
     assert sum(per_task) == expected == got.distinct().count() and max(per_task) < expected / 20
+
+
+class Handle:
+    """State in memory that counts what is asked of it."""
+
+    def __init__(self):
+        self.calls = 0
+
+    def registerTimer(self, at):
+        self.calls += 1
+
+    def state(self, name, schema):
+        kept, handle = [], self
+
+        class State:
+            def __getattr__(self, what):
+                handle.calls += 1
+                return {
+                    "get": lambda: kept[0] if name == "open" else list(kept), "exists": lambda: bool(kept), "clear": kept.clear, "appendList": kept.extend,
+                    "appendValue": kept.append, "update": lambda v: kept.__setitem__(slice(None), [v]), "put": lambda v: kept.__setitem__(slice(None), v),
+                }[what]
+
+        return State()
+
+    getListState = getValueState = state
+
+
+def test_visits_ask_state_for_few_things_however_many_rows_a_key_has():
+    hour = 3_600_000_000
+    visits, handle = state.Visits("user", 6 * hour, hour), Handle()
+    visits.init(handle)
+    list(visits.handleInputRows((1,), iter([{"at_": i * hour, "tie_": i, "kind_": "k", "amount_": 1} for i in range(500) if i != 250 and not 300 <= i < 320]), None))
+    times = type("T", (), {"getCurrentWatermarkInMs": lambda self: 600 * 3_600_000})()
+    got = list(visits.handleExpiredTimer((1,), times, None))
+    assert [(r.first // hour, r.last // hour, r.n, len(r.path)) for r in got] == [(0, 299, 299, 299), (320, 499, 180, 180)]
+    assert handle.calls < 20
