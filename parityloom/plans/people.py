@@ -7,7 +7,7 @@ marginal, which is what fitting from an even seed gives.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,9 +63,11 @@ def _occupation(age: Column, education: Column, residence: Column, region: Colum
     )
 
 
-def population(ids: DataFrame, seed: int = 42, marginals: Mapping[str, Mapping[str, float]] = MARGINALS, conditionals: Mapping[str, tuple[str, DataFrame]] | None = None, ages: Mapping[int, int] | None = None, employment: Mapping[str, Mapping[str, float]] | None = None) -> DataFrame:
+def population(ids: DataFrame, seed: int = 42, marginals: Mapping[str, Mapping[str, float]] = MARGINALS, conditionals: Mapping[str, tuple[str, DataFrame]] | None = None, ages: Mapping[int, int] | None = None, employment: Mapping[str, Mapping[str, float]] | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """A record for each id; all in one projection unless conditionals {field: (given, table)} are joined.
 
+    Columns of ids named in keep follow the record.
+
     employment, shares of status by age group, holds for those who are neither students nor
     pensioners by occupation; groups it lacks follow the national shares.
 
@@ -76,7 +78,7 @@ def population(ids: DataFrame, seed: int = 42, marginals: Mapping[str, Mapping[s
     u = lambda step: fast01(seed, i, step)
     given = dict(conditionals or {})
     adult = {k: v for k, v in marginals["age_group"].items() if k in AGES}
-    out = ids.select("id")
+    out = ids.select("id", *keep)
     for f, shares in (("sex", marginals["sex"]), ("age_group", adult), ("region", marginals["region"])):
         out = out.withColumn(f, draw(shares, u(f)))
     for f in ("residence_type", "ethnicity", "mother_tongue", "religion", "marital_status"):
@@ -87,12 +89,15 @@ def population(ids: DataFrame, seed: int = 42, marginals: Mapping[str, Mapping[s
             out = draw_given(out, on, table, u(f), f, national).drop("fell_back")
         else:
             out = out.withColumn(f, draw(marginals[f], u(f)))
+    # a column of its own, so that it is made once a row; no age leaves its group, which stays as it was drawn
+    t = u("age")
+    out = out.withColumn("t_", F.sqrt(t / 2) * (t < 0.5).cast("int") + (1 - F.sqrt((1 - t) / 2)) * (t >= 0.5).cast("int"))
     age = F.lit(None).cast("int")
     for name, (low, high) in AGES.items():
         inside = {str(a): n for a, n in (ages or {}).items() if low <= a <= high}
-        one = draw(inside, u("age")).cast("int") if inside else F.floor(low + (high + 1 - low) * (F.sqrt(u("age") / 2) * (u("age") < 0.5).cast("int") + (1 - F.sqrt((1 - u("age")) / 2)) * (u("age") >= 0.5).cast("int"))).cast("int")
+        one = draw(inside, t).cast("int") if inside else F.floor(low + (high + 1 - low) * F.col("t_")).cast("int")
         age = F.when(F.col("age_group") == name, F.least(one, F.lit(high))).otherwise(age)
-    out = out.withColumn("age", age).withColumn("age_group", scalar.age_group(F.col("age")))
+    out = out.withColumn("age", age)
     shares = {k: v for k, v in marginals["education_level"].items()}
     education = F.when(F.col("age") < 19, draw(SCHOOL_EDUCATION, u("education"))).when(F.col("age") < 27, draw(YOUNG_EDUCATION, u("education"))).otherwise(draw(shares, u("education")))
     out = out.withColumn("education_level", education)
@@ -112,7 +117,7 @@ def population(ids: DataFrame, seed: int = 42, marginals: Mapping[str, Mapping[s
         F.concat_ws(" ", first, uniform_item(LAST, u("surname"))).alias("name"),
         "sex", "age", "age_group", "ethnicity", "mother_tongue", "religion", "marital_status", "education_level", "field_of_study",
         job.alias("occupation"), F.col("job_.sector").alias("occupation_sector"), status.alias("employment_status"),
-        "region", "residence_type", F.lit("Moldova").alias("country"), *[c.alias(f"ocean_{t}") for t, c in traits.items()],
+        "region", "residence_type", F.lit("Moldova").alias("country"), *[c.alias(f"ocean_{t}") for t, c in traits.items()], *keep,
     )
 
 
@@ -123,10 +128,12 @@ def generate(spark: SparkSession, n: int, seed: int = 42, **options) -> DataFram
 def corrected(spark: SparkSession, n: int, seed: int = 42, oversample: int = 3, fields: tuple[str, ...] = ("sex", "age_group", "residence_type", "ethnicity", "region"), **options) -> tuple[DataFrame, Raked]:
     """n records out of oversample times as many, raked to the marginals and drawn by weight.
 
-    A record drawn twice gets a uuid of its own and keeps its source_id.
+    A record drawn twice gets a uuid of its own and keeps its source_id. As a record is a function of its id,
+    only ids, raked fields and weights are counted, sorted and drawn, and the rows of Raked hold no more;
+    the other columns are made for what is drawn.
     """
     targets = {f: {k: v for k, v in MARGINALS[f].items() if f != "age_group" or k in AGES} for f in fields}
-    raked = rake(generate(spark, n * oversample, seed, **options), targets)
-    whole = raked.rows.withColumn("points", F.round(F.col("weight") * 1_000_000).cast("long"))
-    drawn = resample(whole, "id", "points", n)
-    return drawn.withColumn("uuid", F.concat_ws("-", F.lit(str(seed)), "source_id", "draw")).drop("points"), raked
+    raked = rake(generate(spark, n * oversample, seed, **options).select("id", *fields), targets)
+    whole = raked.rows.select("id", "weight", F.round(F.col("weight") * 1_000_000).cast("long").alias("points"))
+    drawn = population(resample(whole, "id", "points", n), seed, keep=("weight", "draw", "source_id"), **options)
+    return drawn.withColumn("uuid", F.concat_ws("-", F.lit(str(seed)), "source_id", "draw")), raked
