@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from ..operators.common import saved, small
 
+#: Levels of a tree that one plan opens.
+LEVELS = 4
+
 
 def list_to_json(values: Column) -> Column:
     """JSON text of a list; [] for null."""
@@ -53,25 +56,35 @@ def bounded_fields(rows: DataFrame, values: str, bounds: DataFrame) -> DataFrame
 def tree_leaves(rows: DataFrame, tree: str, keep: Sequence[str] = (), most: int = 100) -> DataFrame:
     """(keep, path, kind, value) of every leaf of a VARIANT column, however deep; path is an array of keys, and of places as text.
 
-    Each round opens the objects and lists of one level, all rows at once and without a shuffle, until none is left; the table
-    is written between rounds, so a plan is one level deep. Leaves are texts, numbers, booleans, nulls, and empty objects
+    A round opens up to LEVELS levels of objects and lists, all rows at once and without a shuffle; leaves of the first
+    levels pass through the others as they are. The table is written between rounds, so a plan is a few levels deep, and only
+    rows that are still open are opened again. Leaves are texts, numbers, booleans, nulls, and empty objects
     and lists; value is the leaf as text, null for a null. A null column has no leaf. More than `most` levels are an error.
     """
-    spark = rows.sparkSession
-    keep = list(keep)
-    kind = F.regexp_extract(F.schema_of_variant("v_"), "^[A-Z]+", 0)
+    keep, v = list(keep), F.col("v_")
     now = rows.where(F.col(tree).isNotNull()).select(*keep, F.array().cast("array<string>").alias("path"), F.col(tree).alias("v_"))
-    out = None
-    for _ in range(most):
-        known = now.withColumn("kind", kind).withColumn("empty_", F.to_json("v_").isin("{}", "[]"))
-        open_ = F.col("kind").isin("OBJECT", "ARRAY") & ~F.col("empty_")
-        leaf = known.where(~open_).select(*keep, "path", "kind", F.when(F.col("empty_"), F.to_json("v_")).otherwise(F.try_variant_get("v_", "$", "string")).alias("value"))
+    # one level of a value, whatever lies below it
+    fields = F.map_entries(F.try_variant_get(v, "$", "map<string,variant>"))
+    places = F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x, i: F.struct(i.cast("string").alias("key"), x.alias("value")))
+    inside = F.coalesce(fields, places)
+    out, opened = None, 0
+    while opened < most:
+        levels = min(LEVELS, most - opened)
+        for _ in range(levels):
+            known = now.withColumn("in_", inside)
+            itself = F.array(F.struct(F.lit(None).cast("string").alias("key"), v.alias("value")))
+            known = known.withColumn("in_", F.when(F.size("in_") > 0, F.col("in_")).otherwise(itself))
+            each = known.select(*keep, "path", F.explode("in_").alias("x_"))
+            now = each.select(*keep, F.when(F.col("x_.key").isNull(), F.col("path")).otherwise(F.concat("path", F.array("x_.key"))).alias("path"), F.col("x_.value").alias("v_"))
+        opened += levels
+        n_inside = F.size(inside)
+        now = saved(now.withColumn("open_", F.coalesce(n_inside > 0, F.lit(False))), "tree")
+        kind, closed = F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0), now.where("NOT open_")
+        leaf = closed.select(*keep, "path", kind.alias("kind"), "v_").select(*keep, "path", "kind", F.when(F.col("kind").isin("OBJECT", "ARRAY"), F.to_json(v)).otherwise(F.try_variant_get(v, "$", "string")).alias("value"))
         out = leaf if out is None else out.unionByName(leaf)
-        inner = known.where(open_)
-        if inner.isEmpty():
+        now = now.where("open_").drop("open_")
+        if now.isEmpty():
             return out
-        opened = inner.alias("t").lateralJoin(spark.tvf.variant_explode(F.col("t.v_").outer()).alias("e"))
-        now = saved(opened.select(*[F.col(f"t.{c}") for c in keep], F.concat("t.path", F.array(F.coalesce("e.key", F.col("e.pos").cast("string")))).alias("path"), F.col("e.value").alias("v_")), "tree")
     raise ValueError(f"a tree has more than {most} levels")
 
 
