@@ -18,8 +18,20 @@ def _fields(df: DataFrame, texts: Sequence[str]) -> DataFrame:
 
 
 def trigram_repetition(df: DataFrame, texts: Sequence[str], n: int = 3) -> DataFrame:
-    """Different n-grams that occur more than once, by different n-grams."""
-    grams = _fields(df, texts).select(F.explode(t.ngrams(t.tokens(F.col("text")), n)).alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("c"))
+    """Different n-grams that occur more than once, by different n-grams.
+
+    A gram stands as two 64-bit hashes of its words: two of a billion grams have the same with a chance of 1 in 10**20.
+    """
+
+    def hashed(w: Column) -> Column:
+        def one(i: Column) -> Column:
+            words = [F.get(w, i + k) for k in range(n)]
+            return F.struct(F.xxhash64(*words).alias("a"), F.xxhash64(F.lit(1), *words).alias("b"))
+
+        return F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(0), F.size(w) - n), one))
+
+    each = _fields(df, texts).select(F.explode(t.let(t.tokens(F.col("text")), hashed)).alias("g"))
+    grams = each.groupBy("g.a", "g.b").agg(F.count(F.lit(1)).alias("c"))
     return grams.agg(F.count(F.lit(1)).alias("grams"), F.count_if(F.col("c") > 1).alias("repeated"), F.coalesce(F.count_if(F.col("c") > 1) / F.count(F.lit(1)), F.lit(0.0)).alias("rate"))
 
 
