@@ -406,7 +406,8 @@ def scored(docs: DataFrame, train: Column, least: int = LEAST_CONTEXT, gain: flo
     rows = rows[0] if rows else 0
     down = total + ALPHA * (kinds + 1)
     tree, ones, twos = learnt(learning, grams, rows, lambda c: (F.col(c) + ALPHA) / down, lanes, least, gain, k)
-    many = words.where(F.col("c") * lanes > 2 * F.lit(total)).collect()  # at most half as many as lanes
+    # the bound is Python's: 2 * F.lit(total) was a product of 32-bit numbers, an error from 2**30 tokens on
+    many = words.where(F.col("c") > 2 * total // lanes).collect()  # at most half as many as lanes
     hot = {r["h"]: -(-r["c"] * lanes // total) for r in many} | ({BEGIN: -(-rows * lanes // total)} if rows * lanes > 2 * total else {})
     common = words.orderBy(F.desc("c"), "h").limit(HEAVY).toArrow().sort_by("h")
     # one after the other, so that only one of them is shuffled at a time

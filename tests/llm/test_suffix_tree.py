@@ -162,3 +162,21 @@ def test_long_words_are_hashed_in_parts(monkeypatch):
     whole = suffix_tree.tokens(pa.array([text]))[1].tolist()
     monkeypatch.setattr(suffix_tree, "SPAN", 100)
     assert suffix_tree.tokens(pa.array([text]))[1].tolist() == whole and whole[0] == whole[-2] != whole[2]
+
+
+def test_more_than_2_to_the_30_tokens(spark, monkeypatch):
+    """All counts times a number: sums of 2**30 to 2**31 tokens and more; chances of what was learnt hardly differ between the two."""
+    counted, rows = suffix_tree.counted, corpus(60, 2)[:60]
+    total, one, *_ = model(rows, 4, 0.5)
+    monkeypatch.setattr(suffix_tree, "LANE", 40)  # some words are before very many
+    found = []
+    for least in (2**30, 2**32):
+        times = least // total + 1
+        monkeypatch.setattr(suffix_tree, "counted", lambda *a, by=times: counted(*a).withColumn("n", F.col("n") * by))
+        got = {r[0]: r for r in scores(spark, rows)}
+        for doc, text in rows:
+            line = words(text)
+            base = sum(math.log10((one[w] * times + 0.1) / (total * times + 0.1 * (len(one) + 1))) for w in line)
+            assert got[doc][2:5] == (len(line), sum(one[w] > 0 for w in line), total * times) and got[doc][5] == pytest.approx(base, abs=2e-6)
+        found.append({doc: r[6] for doc, r in got.items() if r[1]})
+    assert found[0] == pytest.approx(found[1], abs=1e-3) and any(got[doc][6] > got[doc][5] + 1 for doc in got)
